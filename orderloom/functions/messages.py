@@ -25,12 +25,16 @@ def decode(messages: DataFrame, schema: T.StructType) -> DataFrame:
     """`messages` plus struct `message` and flag `undecodable`.
 
     Undecodable is what is not UTF-8 JSON, is no object, or has a field of another type.
+    The explode of one element makes Spark parse a message once; as a plain column the
+    parse would be repeated in the filter and in every field taken from it.
     """
     wanted = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
     options = {**_JSON, "columnNameOfCorruptRecord": _BAD}
-    parsed = messages.withColumn("message", F.from_json(F.col("value").cast("string"), wanted, options))
+    text = F.try_validate_utf8(F.col("value").cast("string"))
+    message = F.from_json(text, wanted, options)
+    parsed = messages.select("*", F.explode(F.array(message)).alias("message"))
     bad = F.col("message").isNull() | F.col(f"message.{_BAD}").isNotNull()
-    return parsed.withColumn("undecodable", bad).withColumn("message", F.col("message").dropFields(_BAD))
+    return parsed.withColumn("undecodable", bad)
 
 
 def parse_envelope(messages: DataFrame, data: T.StructType) -> DataFrame:

@@ -47,17 +47,18 @@ def append_if_absent(
     fresh = keep_first(rows, keys, first_by).select(*columns)
     stored = read_target(fresh, path)
     if stored is None:
-        return _write(fresh, path, ingest_id, batch_id)
+        return write_run(fresh, path, ingest_id, batch_id)
     own = (F.col("ingest_id") == ingest_id) & (F.col("batch_id") == batch_id)
     fresh = fresh.persist()
     try:
-        _write(_absent(fresh, stored.where(~own).select(*keys), keys), path, ingest_id, batch_id)
+        write_run(_absent(fresh, stored.where(~own).select(*keys), keys), path, ingest_id, batch_id)
     finally:
         fresh.unpersist()
 
 
-def _write(fresh: DataFrame, path: str, ingest_id: str, batch_id: int) -> None:
-    owned = fresh.withColumn("ingest_id", F.lit(ingest_id)).withColumn("batch_id", F.lit(batch_id))
+def write_run(rows: DataFrame, path: str, ingest_id: str, batch_id: int) -> None:
+    """Write rows as the partition of this run's batch, replacing what an earlier try left there."""
+    owned = rows.withColumn("ingest_id", F.lit(ingest_id)).withColumn("batch_id", F.lit(batch_id))
     writer = owned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*RUN_COLUMNS).parquet(path)
 

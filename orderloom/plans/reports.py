@@ -11,11 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderloom.functions.numeric import mean_of, percent_change, total
+from orderloom.functions.numeric import mean_of, money, percent_change, sum_cents, units
 from orderloom.functions.temporal import months, truncate
 from orderloom.operators.ranking import asc, checkpoint_and_count, desc, with_ranks
 from orderloom.plans.star import Star
-from orderloom.schemas import DELIVERED, MONEY_SUM
+from orderloom.schemas import DELIVERED
 
 PURCHASE, DELIVERY = "order_purchase_timestamp", "order_delivered_customer_date"
 CATEGORY = "product_category_name_english"
@@ -26,19 +26,22 @@ def most_valuable_customers(star: Star) -> DataFrame:
     """Customers per delivery month, ranked by what they spent; the month is not shown."""
     delivered = star.per_order().where(F.col("order_status") == DELIVERED)
     groups = delivered.groupBy("customer_unique_id", truncate(DELIVERY, "month").alias("_month")).agg(
-        total("order_total").alias("total_spent"),
+        F.sum("order_cents").alias("_cents"),
         F.count("order_id").alias("total_orders"),
         F.max(DELIVERY).alias("last_order_date"),
     )
     groups, few = checkpoint_and_count(groups)
     ranked = with_ranks(
         groups,
-        [("total_spent", "desc")],
+        [("_cents", "desc")],
         tiebreak=["customer_unique_id", "_month"],
         rank="customer_rating",
         single_task=few,
     )
-    return ranked.drop("_month").orderBy("customer_rating", asc("customer_unique_id"), asc("last_order_date"))
+    shown = ranked.select(
+        "customer_unique_id", money("_cents").alias("total_spent"), "total_orders", "last_order_date", "customer_rating"
+    )
+    return shown.orderBy("customer_rating", asc("customer_unique_id"), asc("last_order_date"))
 
 
 def rolling_quarters(star: Star) -> DataFrame:
@@ -48,11 +51,12 @@ def rolling_quarters(star: Star) -> DataFrame:
     calendar month by the time the window runs, however many orders there are.
     """
     monthly = star.per_order().groupBy("customer_unique_id", truncate(DELIVERY, "month").alias("month"))
-    monthly = monthly.agg(total("order_total").alias("monthly_total"))
+    monthly = monthly.agg(F.sum("order_cents").alias("_cents"))
     recent = Window.partitionBy("customer_unique_id").orderBy(asc("month")).rowsBetween(-2, 0)
-    spent = F.col("monthly_total")
-    average = mean_of(F.sum(spent).over(recent), F.count(spent).over(recent))
-    rolled = monthly.withColumn("rolling_quartal_avg", average)
+    average = mean_of(units(F.sum("_cents").over(recent)), F.count("_cents").over(recent))
+    rolled = monthly.select(
+        "customer_unique_id", "month", money("_cents").alias("monthly_total"), average.alias("rolling_quartal_avg")
+    )
     return rolled.orderBy(asc("customer_unique_id"), asc("month"))
 
 
@@ -64,28 +68,31 @@ def _last_quarter_sales(star: Star) -> DataFrame:
     """
     start = star.orders.agg(truncate(F.max(PURCHASE), "quarter").alias("start")).scalar()
     recent = star.lines().where(F.col(PURCHASE) >= start)
-    return recent.groupBy("product_id").agg(total("price").alias("total_sales"))
+    return recent.groupBy("product_id").agg(sum_cents("price").alias("_cents"))
 
 
 def top_ten_products_q_sales(star: Star, top_n: int = 10) -> DataFrame:
     """Best-selling products of the latest quarter; only the first rows get a number."""
-    best = _last_quarter_sales(star).orderBy(desc("total_sales"), asc("product_id")).limit(top_n)
-    place = F.row_number().over(Window.orderBy(desc("total_sales"), asc("product_id")))
+    best = _last_quarter_sales(star).orderBy(desc("_cents"), asc("product_id")).limit(top_n)
+    place = F.row_number().over(Window.orderBy(desc("_cents"), asc("product_id")))
     return best.select(
         "product_id",
         place.cast("bigint").alias("rank_by_quarter_sales"),
-        F.col("total_sales").alias("total_quarter_sales"),
+        money("_cents").alias("total_quarter_sales"),
     ).orderBy("rank_by_quarter_sales")
 
 
 def top_ten_products_q_by_category(star: Star, top_n: int = 10) -> DataFrame:
     """Best-selling products of the latest quarter in every named category."""
     sales = _last_quarter_sales(star).join(star.products, "product_id", "left")
-    in_category = Window.partitionBy(CATEGORY).orderBy(desc("total_sales"), asc("product_id"))
+    in_category = Window.partitionBy(CATEGORY).orderBy(desc("_cents"), asc("product_id"))
     ranked = sales.withColumn("rank_by_category", F.row_number().over(in_category))
     kept = ranked.where((F.col("rank_by_category") <= top_n) & F.col(CATEGORY).isNotNull())
     return kept.select(
-        CATEGORY, "product_id", "total_sales", F.col("rank_by_category").cast("bigint").alias("rank_by_category")
+        CATEGORY,
+        "product_id",
+        money("_cents").alias("total_sales"),
+        F.col("rank_by_category").cast("bigint").alias("rank_by_category"),
     ).orderBy(asc(CATEGORY), "rank_by_category")
 
 
@@ -97,18 +104,18 @@ def raise_sales_gradient(star: Star, top_n: int = 5) -> DataFrame:
     the places, but then is not shown.
     """
     by_product = star.lines().groupBy("product_id", truncate(PURCHASE, "month").alias("month"))
-    by_product = by_product.agg(F.sum("price").alias("sales"))
+    by_product = by_product.agg(sum_cents("price").alias("_cents"))
     monthly = by_product.join(star.products, "product_id", "left").groupBy(CATEGORY, "month")
-    monthly = monthly.agg(total("sales").alias("monthly_sales"))
-    top = monthly.groupBy(CATEGORY).agg(F.sum("monthly_sales").alias("_all_time"))
+    monthly = monthly.agg(F.sum("_cents").alias("_cents"))
+    top = monthly.groupBy(CATEGORY).agg(F.sum("_cents").alias("_all_time"))
     top = top.orderBy(desc("_all_time"), asc(CATEGORY)).limit(top_n).select(CATEGORY)
     shown = monthly.join(F.broadcast(top), CATEGORY, "left_semi")
-    before = F.lag("monthly_sales").over(Window.partitionBy(CATEGORY).orderBy(asc("month")))
+    before = F.lag("_cents").over(Window.partitionBy(CATEGORY).orderBy(asc("month")))
     grown = shown.withColumn("_before", before).where(F.col("_before").isNotNull())
     return grown.select(
         F.col(CATEGORY).alias("product_category"),
         "month",
-        percent_change(F.col("monthly_sales"), F.col("_before")).alias("growth_percentage"),
+        percent_change(units("_cents"), units("_before")).alias("growth_percentage"),
     ).orderBy(asc("product_category"), asc("month"))
 
 
@@ -116,10 +123,10 @@ def cumulative_product_sales(star: Star, year: int = 2018) -> DataFrame:
     """Running year-to-date sales per product, one column per month."""
     first, after = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
     in_year = star.lines().where((F.col(PURCHASE) >= first) & (F.col(PURCHASE) < after))
-    monthly = in_year.groupBy("product_id", F.month(PURCHASE).alias("_month")).agg(total("price").alias("_sales"))
+    monthly = in_year.groupBy("product_id", F.month(PURCHASE).alias("_month")).agg(sum_cents("price").alias("_cents"))
 
     def until(month: int):
-        return F.sum(F.when(F.col("_month") <= month, F.col("_sales")).otherwise(0)).cast(MONEY_SUM)
+        return money(F.sum(F.when(F.col("_month") <= month, F.col("_cents")).otherwise(0)))
 
     running = [until(month).alias(name) for month, name in enumerate(MONTH_NAMES, start=1)]
     return monthly.groupBy("product_id").agg(*running)
@@ -129,7 +136,8 @@ def daily_rebates(star: Star) -> DataFrame:
     """Sales per day of the month that ends with the latest purchase."""
     cutoff = star.orders.agg((F.max(PURCHASE) - months(1)).alias("cutoff")).scalar()
     recent = star.lines().where(F.col(PURCHASE) >= cutoff)
-    return recent.groupBy(truncate(PURCHASE, "day").alias("day_of_month")).agg(total("price").alias("daily_rebates"))
+    daily = recent.groupBy(truncate(PURCHASE, "day").alias("day_of_month"))
+    return daily.agg(money(sum_cents("price")).alias("daily_rebates"))
 
 
 def daily_avgs_states_comparison(star: Star) -> DataFrame:
@@ -141,17 +149,17 @@ def daily_avgs_states_comparison(star: Star) -> DataFrame:
     """
     month = truncate(PURCHASE, "month").alias("month")
     by_seller = star.lines().where(F.col(PURCHASE).isNotNull()).groupBy("seller_id", month)
-    by_seller = by_seller.agg(F.sum("price").alias("price_sum"), F.count("price").alias("prices"))
+    by_seller = by_seller.agg(sum_cents("price").alias("cents"), F.count("price").alias("prices"))
     by_state = by_seller.join(star.sellers, "seller_id", "left").groupBy("seller_state", "month")
-    by_state = by_state.agg(F.sum("price_sum").alias("price_sum"), F.sum("prices").alias("prices"))
-    latest_row = F.max(F.struct("month", "price_sum", "prices", "seller_state"))
+    by_state = by_state.agg(F.sum("cents").alias("cents"), F.sum("prices").alias("prices"))
+    latest_row = F.max(F.struct("month", "cents", "prices", "seller_state"))
     latest = by_state.agg(latest_row.getField("month").alias("latest")).scalar()
 
     def mean_in(start):
         def here(name):
             return F.sum(F.when(F.col("month") == start, F.col(name)))
 
-        return mean_of(here("price_sum"), here("prices"))
+        return mean_of(units(here("cents")), here("prices"))
 
     means = by_state.groupBy("seller_state").agg(
         mean_in(latest).alias("_current"), mean_in(latest - months(1)).alias("_previous")
@@ -175,7 +183,7 @@ def seller_rating(star: Star, revenue_weight: float = 0.5, price_weight: float =
     start = star.orders.agg((F.max(PURCHASE) - months(12)).alias("start")).scalar()
     last_year = star.lines().where(F.col(PURCHASE) >= start)
     metrics = last_year.groupBy("seller_id").agg(
-        total("price").alias("_revenue"), mean_of(F.sum("price"), F.count("price")).alias("_mean_price")
+        sum_cents("price").alias("_revenue"), mean_of(units(sum_cents("price")), F.count("price")).alias("_mean_price")
     )
     metrics, few = checkpoint_and_count(metrics)
 

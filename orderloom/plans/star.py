@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.functions.numeric import total
+from orderloom.functions.numeric import sum_cents
 from orderloom.operators.ranking import with_ranks
 from orderloom.schemas import FACT_COLUMNS, MONEY, ORDER_COLUMNS
 from orderloom.sources.tables import Sources
@@ -92,12 +92,12 @@ class Star:
         return facts.join(self.orders, "order_id", "left")
 
     def per_order(self) -> DataFrame:
-        """Sum of prices per order and customer, with the order's columns.
+        """Sum of prices in cents per order and customer, with the order's columns.
 
         Items are added up before the join, so an order with very many items is small by
         then. Items without a known order may come as several rows with NULLs.
         """
-        sums = self.facts.groupBy("order_id", "customer_unique_id").agg(total("price").alias("order_total"))
+        sums = self.facts.groupBy("order_id", "customer_unique_id").agg(sum_cents("price").alias("order_cents"))
         return sums.join(self.orders, "order_id", "left")
 
 
@@ -111,13 +111,11 @@ class SourceStar(Star):
 
     def __init__(self, src: Sources):
         self.src = src
-        self.orders = dimension_order_data(src)
-        self.products = dimension_product_data(src)
-        self.sellers = dimension_seller_data(src)
 
-    @cached_property
-    def facts(self) -> DataFrame:
-        return facts_order_items(self.src)
+    facts = cached_property(lambda self: facts_order_items(self.src))
+    orders = cached_property(lambda self: dimension_order_data(self.src))
+    products = cached_property(lambda self: dimension_product_data(self.src))
+    sellers = cached_property(lambda self: dimension_seller_data(self.src))
 
     def lines(self, with_customer: bool = False) -> DataFrame:
         orders = _customers_orders(self.src) if with_customer else self.src.orders
@@ -127,9 +125,9 @@ class SourceStar(Star):
 
     def per_order(self) -> DataFrame:
         items = self.src.order_items.withColumn("price", F.col("price").cast(MONEY))
-        sums = items.groupBy(F.col("order_id").alias("_item_order")).agg(total("price").alias("order_total"))
+        sums = items.groupBy(F.col("order_id").alias("_item_order")).agg(sum_cents("price").alias("order_cents"))
         joined = sums.join(_customers_orders(self.src), F.col("_item_order") == F.col("order_id"), "left")
-        return joined.select("order_id", "customer_unique_id", "order_total", *ORDER_COLUMNS)
+        return joined.select("order_id", "customer_unique_id", "order_cents", *ORDER_COLUMNS)
 
 
 def write_star(src: Sources, root: str) -> None:

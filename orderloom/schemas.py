@@ -70,8 +70,9 @@ TABLES: dict[str, T.StructType] = {
         order_delivered_customer_date=_time,
         order_estimated_delivery_date=_time,
     ),
+    # The id is an INTEGER by declaration; a bigint holds any number of facts.
     "facts_order_items": _struct(
-        id=_int,
+        id=T.LongType(),
         order_id=_text,
         order_item_id=_int,
         product_id=_text,

@@ -7,20 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from orderloom.functions.messages import decode
-from orderloom.operators.append import append_if_absent, read_target
+from orderloom.operators.append import append_if_absent, read_target, write_run
 from orderloom.plans.star import with_customer_of_order
 from orderloom.schemas import FACT_COLUMNS, FACT_KEYS, FACT_MESSAGE, envelope
 from orderloom.sources.tables import Sources
 
 
-def facts_of(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Facts with their envelope's timestamp, and the messages that cannot be decoded."""
-    decoded = decode(messages, envelope(FACT_MESSAGE))
-    good = decoded.where(~F.col("undecodable"))
-    facts = good.select(F.col("message.timestamp").alias("_sent"), "message.data.*")
-    return facts, decoded.where("undecodable").select("value")
-
-
 def stream_facts(
     messages: DataFrame, target: str, checkpoint: str, quarantine: str | None = None, continuous: bool = False
 ) -> StreamingQuery:
@@ -33,12 +25,11 @@ def stream_facts(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         ingest_id = context.getLocalProperty("sql.streaming.queryId")
-        facts, undecodable = facts_of(batch)
+        decoded = decode(batch, envelope(FACT_MESSAGE))
+        facts = decoded.where(~F.col("undecodable")).select(F.col("message.timestamp").alias("_sent"), "message.data.*")
         append_if_absent(facts, target, FACT_KEYS, ingest_id, batch_id, first_by=["_sent"])
         if quarantine:
-            marked = undecodable.withColumn("ingest_id", F.lit(ingest_id)).withColumn("batch_id", F.lit(batch_id))
-            writer = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            writer.partitionBy("ingest_id", "batch_id").parquet(quarantine)
+            write_run(decoded.where("undecodable").select("value"), quarantine, ingest_id, batch_id)
 
     writer = messages.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return (writer if continuous else writer.trigger(availableNow=True)).start()

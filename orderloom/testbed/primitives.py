@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.functions.messages import decode, publish_envelope
-from orderloom.functions.numeric import mean, mean_of, round2
+from orderloom.functions.numeric import mean_of, round2, sum_cents, units
 from orderloom.functions.temporal import micros, months, truncate
 from orderloom.operators.ranking import asc, desc, with_ranks
 from orderloom.schemas import MONEY, envelope
@@ -127,7 +127,7 @@ def op_hash_agg(t: Tables) -> DataFrame:
     return t("lineitem").groupBy("l_suppkey").agg(
         F.sum(price()).cast("double").alias("revenue"),
         F.max("l_shipdate").alias("last_shipped"),
-        mean(price()).alias("mean_price"),
+        mean_of(units(sum_cents(price())), F.count("*")).alias("mean_price"),
         F.countDistinct("l_orderkey").alias("orders"),
     )
 

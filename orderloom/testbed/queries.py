@@ -22,7 +22,7 @@ from orderloom.sources.csv_files import read_source_csv, write_source_csv
 from orderloom.sources.tables import create_source_tables, load_source_tables
 from orderloom.sources.topics import keyed_messages, publish_files, read_files
 from orderloom.streaming.facts import stream_facts
-from orderloom.testbed.adapter import load_sources, table
+from orderloom.testbed.adapter import DriverSources, table
 from orderloom.testbed.primitives import PRIMITIVES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,18 +40,18 @@ def plain(rows: DataFrame) -> DataFrame:
 
 
 def _item_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return publish_envelope(load_sources(spark, sf_dir, numbered=True).order_items, SENT)
+    return publish_envelope(DriverSources(spark, sf_dir, numbered=True).order_items, SENT)
 
 
 def _csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "csv")
-    write_source_csv(load_sources(spark, sf_dir, numbered=True).order_items, folder)
+    write_source_csv(DriverSources(spark, sf_dir, numbered=True).order_items, folder)
     items = read_source_csv(spark, folder, "src_order_items")
     return items.withColumns({name: F.col(name).cast(MONEY) for name in ("price", "freight_value")})
 
 
 def _envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = publish_envelope(load_sources(spark, sf_dir).orders, SENT)
+    messages = publish_envelope(DriverSources(spark, sf_dir).orders, SENT)
 
     def field(path: str):
         return F.get_json_object("value", f"$.{path}")
@@ -81,7 +81,7 @@ def _batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two topics published, then subscribed to together."""
-    src, root, sink = load_sources(spark, sf_dir), scratch_path(spark, "topics"), scratch_path(spark, "received")
+    src, root, sink = DriverSources(spark, sf_dir), scratch_path(spark, "topics"), scratch_path(spark, "received")
     publish_files(keyed_messages(publish_envelope(src.orders, SENT), "orders"), root)
     publish_files(keyed_messages(publish_envelope(src.sellers, SENT), "sellers"), root)
     received = read_files(spark, root, ["orders", "sellers"])
@@ -114,7 +114,7 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts of delivered orders first, then all facts twice over."""
     target = scratch_path(spark, "facts")
-    src = load_sources(spark, sf_dir, numbered=True)
+    src = DriverSources(spark, sf_dir, numbered=True)
     facts = star.facts_order_items(src)
     delivered = src.orders.where("order_status = 'delivered'").select("order_id")
     append_if_absent(facts.join(delivered, "order_id", "left_semi").select(*FACT_COLUMNS), target, FACT_KEYS, "first", 0)
@@ -136,11 +136,9 @@ def _tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "tables")
     database = "orderloom_" + folder.rsplit("-", 1)[1]
     names = create_source_tables(spark, database, folder)
-    src = load_sources(spark, sf_dir, numbered=True)
+    src = DriverSources(spark, sf_dir, numbered=True)
     load_source_tables(src, database)
-    star.facts_surrogate_id(star.facts_order_items(src)).select(
-        F.col("id").cast("int"), *FACT_COLUMNS
-    ).write.insertInto(f"{database}.facts_order_items")
+    star.facts_surrogate_id(star.facts_order_items(src)).write.insertInto(f"{database}.facts_order_items")
     counts = [
         spark.table(name).agg(F.count("*").alias("row_count"))
         .select(F.lit(name.split(".")[1]).alias("table_name"), "row_count")
@@ -150,7 +148,7 @@ def _tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = load_sources(spark, sf_dir, numbered=True)
+    src = DriverSources(spark, sf_dir, numbered=True)
     checked = {
         "lineitem": (table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]),
         "src_order_items": (src.order_items, FACT_KEYS),
@@ -187,11 +185,11 @@ INGEST: dict[str, Query] = {
 
 
 def _of_sources(plan: Callable[[star.Sources], DataFrame], numbered: bool = False) -> Query:
-    return lambda spark, sf_dir: plan(load_sources(spark, sf_dir, numbered))
+    return lambda spark, sf_dir: plan(DriverSources(spark, sf_dir, numbered))
 
 
 def _of_star(plan: Callable[[star.Star], DataFrame]) -> Query:
-    return lambda spark, sf_dir: plan(star.SourceStar(load_sources(spark, sf_dir)))
+    return lambda spark, sf_dir: plan(star.SourceStar(DriverSources(spark, sf_dir)))
 
 
 STAR: dict[str, Query] = {
@@ -224,7 +222,7 @@ ANALYTICS["orders_avg_period"] = _of_star(_period_in_seconds)
 def _materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store the star, store every report over it, and count what is stored."""
     root = scratch_path(spark, "star")
-    star.write_star(load_sources(spark, sf_dir, numbered=True), root)
+    star.write_star(DriverSources(spark, sf_dir, numbered=True), root)
     stored = star.read_star(spark, root)
     for name in REPORTS:
         materialize_report(stored, name, root, **PARAMETERS.get(name, {}))

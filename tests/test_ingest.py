@@ -115,6 +115,12 @@ def test_parse_skips_what_is_no_message(spark):
     assert rows_of(publish_batch_stats(messages)) == [(6, 1)]
 
 
+def test_bytes_that_are_not_utf8_are_undecodable(spark):
+    values = [_message("ö", 1).encode(), b'{"timestamp": 1, "data": {"order_id": "\xff\xfe"}}']
+    messages = spark.createDataFrame([(bytearray(value),) for value in values], "value binary")
+    assert rows_of(parse_envelope(messages, FACT_MESSAGE), "order_id") == [("ö",)]
+
+
 def test_triage(spark):
     values = ['{"type": "ERROR"}', '{"type": "VIEW"}', '{"data": {}}', "{", None]
     messages = spark.createDataFrame([(value,) for value in values], "value string")

@@ -7,7 +7,7 @@ import pytest
 
 from orderloom.plans import reports, star
 from orderloom.plans.star import SourceStar
-from orderloom.testbed.adapter import load_sources
+from orderloom.testbed.adapter import DriverSources
 from tests.conftest import SF_SMALL
 from tests.fixtures import customer, item, order, product, rows_of, seller, sources, translation
 
@@ -158,7 +158,7 @@ def test_year_to_date(spark):
 
 
 def test_year_to_date_never_falls(spark):
-    rows = reports.cumulative_product_sales(SourceStar(load_sources(spark, SF_SMALL)), year=2000).collect()
+    rows = reports.cumulative_product_sales(SourceStar(DriverSources(spark, SF_SMALL)), year=2000).collect()
     assert rows
     for row in rows:
         values = [row[name] for name in reports.MONTH_NAMES]
@@ -273,7 +273,7 @@ def test_trend_counts_orders_once_and_skips_unknown_orders(spark):
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("star"))
-    star.write_star(load_sources(spark, SF_SMALL, numbered=True), root)
+    star.write_star(DriverSources(spark, SF_SMALL, numbered=True), root)
     return root
 
 
@@ -282,6 +282,6 @@ def test_stored_star_gives_the_same_reports(spark, stored, name):
     parameters = {"year": 2000} if "cumulative" in name else {}
     reports.materialize_report(star.read_star(spark, stored), name, stored, **parameters)
     got = reports.read_report(spark, name, stored)
-    want = reports.REPORTS[name](SourceStar(load_sources(spark, SF_SMALL)), **parameters)
+    want = reports.REPORTS[name](SourceStar(DriverSources(spark, SF_SMALL)), **parameters)
     assert got.columns == want.columns
     assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
