@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.operators.keys import keep_first
+from orderloom.operators.lookup import is_small
 
-# Up to this many new keys are sent to the target's scan; above it both sides are shuffled.
-BROADCAST_KEYS = 500_000
 RUN_COLUMNS = ["ingest_id", "batch_id"]
 
 
@@ -67,10 +66,10 @@ def _absent(fresh: DataFrame, stored_keys: DataFrame, keys: list[str]) -> DataFr
     """`fresh` without the stored keys.
 
     The target outgrows every batch. If the new keys are few, they go to the target's scan
-    and only the hits come back, so the target is not shuffled.
+    and only the hits come back, so the target is not shuffled; otherwise both sides are.
     """
     new_keys = fresh.select(*keys)
-    if fresh.select(F.lit(1)).limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+    if is_small(fresh):
         stored_keys = stored_keys.join(F.broadcast(new_keys), _same(stored_keys, new_keys, keys), "left_semi")
     return fresh.join(stored_keys, _same(fresh, stored_keys, keys), "left_anti")
 

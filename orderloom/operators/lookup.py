@@ -1,0 +1,14 @@
+"""Size check before a broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a few short columns that every executor can hold.
+BROADCAST_ROWS = 500_000
+
+
+def is_small(rows: DataFrame) -> bool:
+    """Whether there are at most BROADCAST_ROWS rows; counting stops just after."""
+    return rows.select(F.lit(1)).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS

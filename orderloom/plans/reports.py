@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.numeric import mean_of, money, percent_change, sum_cents, units
 from orderloom.functions.temporal import months, truncate
+from orderloom.operators.lookup import is_small
 from orderloom.operators.ranking import asc, checkpoint_and_count, desc, with_ranks
 from orderloom.plans.star import Star
 from orderloom.schemas import DELIVERED
@@ -96,26 +97,40 @@ def top_ten_products_q_by_category(star: Star, top_n: int = 10) -> DataFrame:
     ).orderBy(asc(CATEGORY), "rank_by_category")
 
 
+def _monthly_sales(star: Star, dimension: DataFrame, key: str, attribute: str) -> DataFrame:
+    """Cents and number of prices per attribute of the dimension and month of purchase.
+
+    A small dimension is looked up per line, which leaves few groups. With a large one the
+    lines are added up per key and month first, so what is joined has no hot key and is
+    smaller than the fact.
+    """
+    lines = star.lines().withColumn("month", truncate(PURCHASE, "month"))
+    sums = [sum_cents("price").alias("cents"), F.count("price").alias("prices")]
+    if is_small(dimension):
+        return lines.join(F.broadcast(dimension), key, "left").groupBy(attribute, "month").agg(*sums)
+    per_key = lines.groupBy(key, "month").agg(*sums).join(dimension, key, "left")
+    return per_key.groupBy(attribute, "month").agg(F.sum("cents").alias("cents"), F.sum("prices").alias("prices"))
+
+
 def raise_sales_gradient(star: Star, top_n: int = 5) -> DataFrame:
     """Monthly growth in percent of the categories that sold most over all time.
 
-    Sales are added up per product and month before the categories are looked up, and the
-    same monthly sums serve for choosing the categories. The NULL category may take one of
-    the places, but then is not shown.
+    Each category keeps its months, at most one entry per calendar month, until the top is
+    known, so the fact is read once. The NULL category may take one of the places, but then
+    is not shown.
     """
-    by_product = star.lines().groupBy("product_id", truncate(PURCHASE, "month").alias("month"))
-    by_product = by_product.agg(sum_cents("price").alias("_cents"))
-    monthly = by_product.join(star.products, "product_id", "left").groupBy(CATEGORY, "month")
-    monthly = monthly.agg(F.sum("_cents").alias("_cents"))
-    top = monthly.groupBy(CATEGORY).agg(F.sum("_cents").alias("_all_time"))
-    top = top.orderBy(desc("_all_time"), asc(CATEGORY)).limit(top_n).select(CATEGORY)
-    shown = monthly.join(F.broadcast(top), CATEGORY, "left_semi")
-    before = F.lag("_cents").over(Window.partitionBy(CATEGORY).orderBy(asc("month")))
+    monthly = _monthly_sales(star, star.products, "product_id", CATEGORY)
+    categories = monthly.groupBy(CATEGORY).agg(
+        F.sum("cents").alias("_all_time"), F.collect_list(F.struct("month", "cents")).alias("_months")
+    )
+    top = categories.orderBy(desc("_all_time"), asc(CATEGORY)).limit(top_n).where(F.col(CATEGORY).isNotNull())
+    shown = top.select(CATEGORY, F.inline("_months"))
+    before = F.lag("cents").over(Window.partitionBy(CATEGORY).orderBy(asc("month")))
     grown = shown.withColumn("_before", before).where(F.col("_before").isNotNull())
     return grown.select(
         F.col(CATEGORY).alias("product_category"),
         "month",
-        percent_change(units("_cents"), units("_before")).alias("growth_percentage"),
+        percent_change(units("cents"), units("_before")).alias("growth_percentage"),
     ).orderBy(asc("product_category"), asc("month"))
 
 
@@ -143,26 +158,24 @@ def daily_rebates(star: Star) -> DataFrame:
 def daily_avgs_states_comparison(star: Star) -> DataFrame:
     """Mean item price per seller state in the latest month with sales, against the month before.
 
-    Everything is added up per seller and month, then per state and month, in one pass over
-    the fact; what is left has one row per state and month. The latest month is taken from
-    those rows as a whole row, so that both uses are one plan and Spark runs it once.
+    One pass over the fact adds everything up per state and month. Each state keeps its
+    months, at most one entry per calendar month, until the latest month of all states is
+    known; that last window sees one row per state.
     """
-    month = truncate(PURCHASE, "month").alias("month")
-    by_seller = star.lines().where(F.col(PURCHASE).isNotNull()).groupBy("seller_id", month)
-    by_seller = by_seller.agg(sum_cents("price").alias("cents"), F.count("price").alias("prices"))
-    by_state = by_seller.join(star.sellers, "seller_id", "left").groupBy("seller_state", "month")
-    by_state = by_state.agg(F.sum("cents").alias("cents"), F.sum("prices").alias("prices"))
-    latest_row = F.max(F.struct("month", "cents", "prices", "seller_state"))
-    latest = by_state.agg(latest_row.getField("month").alias("latest")).scalar()
-
-    def mean_in(start):
-        def here(name):
-            return F.sum(F.when(F.col("month") == start, F.col(name)))
-
-        return mean_of(units(here("cents")), here("prices"))
-
-    means = by_state.groupBy("seller_state").agg(
-        mean_in(latest).alias("_current"), mean_in(latest - months(1)).alias("_previous")
+    by_state = _monthly_sales(star, star.sellers, "seller_id", "seller_state").where(F.col("month").isNotNull())
+    kept = by_state.groupBy("seller_state").agg(
+        F.collect_list(F.struct("month", "cents", "prices")).alias("_months"), F.max("month").alias("_last")
+    )
+    kept = kept.withColumn("_latest", F.max("_last").over(Window.partitionBy()))
+
+    def mean_in(month):
+        row = F.get(F.filter("_months", lambda entry: entry["month"] == month), 0)
+        return mean_of(units(row["cents"]), row["prices"])
+
+    means = kept.select(
+        "seller_state",
+        mean_in(F.col("_latest")).alias("_current"),
+        mean_in(F.col("_latest") - months(1)).alias("_previous"),
     )
     states = star.sellers.select("seller_state").distinct().join(means, "seller_state", "left")
     current = F.coalesce("_current", F.lit(0.0))

@@ -68,7 +68,7 @@ def test_retried_batch_writes_the_same_rows(spark, tmp_path):
 
 @pytest.mark.parametrize("limit", [0, 1000])
 def test_append_gives_the_same_with_and_without_broadcast(spark, tmp_path, monkeypatch, limit):
-    monkeypatch.setattr("orderloom.operators.append.BROADCAST_KEYS", limit)
+    monkeypatch.setattr("orderloom.operators.lookup.BROADCAST_ROWS", limit)
     target = str(tmp_path / "facts")
     ids = spark.range(300).select(F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 50).alias("k"), "id")
     append_if_absent(ids.where("id < 40"), target, ["k"], "run", 0)
