@@ -130,6 +130,19 @@ class SourceStar(Star):
         return joined.select("order_id", "customer_unique_id", "order_cents", *ORDER_COLUMNS)
 
 
+def register_views(star: Star, src: Sources | None = None) -> None:
+    """Temporary views under the tables' names, for SQL of one's own."""
+    views = {
+        "facts_order_items": star.facts,
+        "dimension_order_data": star.orders,
+        "dimension_product_data": star.products,
+        "dimension_seller_data": star.sellers,
+        **(src.named() if src else {}),
+    }
+    for name, rows in views.items():
+        rows.createOrReplaceTempView(name)
+
+
 def write_star(src: Sources, root: str) -> None:
     """Store the star under `root`, the fact with its surrogate id."""
     derived = SourceStar(src)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from orderloom.functions.messages import decode
+from orderloom.functions.text import sanitize_values
 from orderloom.operators.append import append_if_absent, read_target, write_run
 from orderloom.plans.star import with_customer_of_order
 from orderloom.schemas import FACT_COLUMNS, FACT_KEYS, FACT_MESSAGE, envelope
@@ -14,12 +15,18 @@ from orderloom.sources.tables import Sources
 
 
 def stream_facts(
-    messages: DataFrame, target: str, checkpoint: str, quarantine: str | None = None, continuous: bool = False
+    messages: DataFrame,
+    target: str,
+    checkpoint: str,
+    quarantine: str | None = None,
+    continuous: bool = False,
+    sanitize: bool = False,
 ) -> StreamingQuery:
     """Append the facts in `messages` to the parquet folder `target`, once per key.
 
     By default the query takes what is there and ends. Offsets and batch ids live in
     `checkpoint`; the query id kept there marks the rows of this stream in the target.
+    `sanitize` replaces quotes in the strings, for targets that need it.
     """
     context = messages.sparkSession.sparkContext
 
@@ -27,6 +34,8 @@ def stream_facts(
         ingest_id = context.getLocalProperty("sql.streaming.queryId")
         decoded = decode(batch, envelope(FACT_MESSAGE))
         facts = decoded.where(~F.col("undecodable")).select(F.col("message.timestamp").alias("_sent"), "message.data.*")
+        if sanitize:
+            facts = sanitize_values(facts, facts.schema)
         append_if_absent(facts, target, FACT_KEYS, ingest_id, batch_id, first_by=["_sent"])
         if quarantine:
             write_run(decoded.where("undecodable").select("value"), quarantine, ingest_id, batch_id)

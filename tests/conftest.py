@@ -1,9 +1,11 @@
+import os
+
 import pytest
 
 from orderloom.session import build_session
 
 SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"
+SF_CHECK = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="session")

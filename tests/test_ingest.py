@@ -56,6 +56,15 @@ def test_stream_is_idempotent(spark, tmp_path):
     assert len(_load(spark, root, target, tmp_path / "c2")) == 4
 
 
+def test_stream_can_sanitize(spark, tmp_path):
+    _put(tmp_path / "topics", "a.txt", _message("it's", 1))
+    messages = topics.read_files(spark, str(tmp_path / "topics"), "items")
+    facts_stream.stream_facts(
+        messages, str(tmp_path / "facts"), str(tmp_path / "c"), sanitize=True
+    ).awaitTermination()
+    assert rows_of(spark.read.parquet(str(tmp_path / "facts")), "order_id") == [("it?s",)]
+
+
 def test_retried_batch_writes_the_same_rows(spark, tmp_path):
     target = str(tmp_path / "facts")
     rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), (None, 5)], "k string, v int")

@@ -120,6 +120,16 @@ def _category_sales(spark):
     )
 
 
+def test_views_serve_sql(spark):
+    src = _category_sales(spark)
+    star.register_views(SourceStar(src), src)
+    counted = spark.sql("""
+        SELECT order_status, count(*) AS items FROM facts_order_items f
+        LEFT JOIN dimension_order_data USING (order_id) GROUP BY order_status""")
+    assert sorted(rows_of(counted), key=str) == [("delivered", 8), (None, 1)]
+    assert spark.table("src_products").count() == 5
+
+
 def test_top_products_of_the_quarter(spark):
     of = SourceStar(_category_sales(spark))
     assert rows_of(reports.top_ten_products_q_sales(of, top_n=3)) == [
