@@ -2,15 +2,31 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.schemas import KEYS
+
 
 def key_violations(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Every key that occurs more than once, with its number of `copies`."""
     return rows.groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1")
 
 
+def declared_key_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row per declared key of the named tables: how many keys repeat, in how many rows."""
+    def summed(name: str, keys: list[str]) -> DataFrame:
+        found = key_violations(tables[name], keys).agg(
+            F.count("*").alias("keys_repeated"), F.coalesce(F.sum("copies"), F.lit(0)).alias("rows_concerned")
+        )
+        labels = [F.lit(name).alias("table_name"), F.lit(", ".join(keys)).alias("key")]
+        return found.select(*labels, "keys_repeated", "rows_concerned")
+
+    return reduce(DataFrame.unionAll, [summed(name, keys) for name in tables for keys in KEYS[name]])
+
+
 def keep_first(rows: DataFrame, keys: list[str], first_by: list[str] | None = None) -> DataFrame:
     """One row per key: the first by `first_by`, then by the other columns.
 

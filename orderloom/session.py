@@ -28,6 +28,7 @@ def tune(spark: SparkSession) -> SparkSession:
 def build_session(app_name: str = "orderloom", master: str | None = None, **conf: str) -> SparkSession:
     """Create a session with the settings above; on a cluster leave `master` to spark-submit."""
     builder = SparkSession.builder.appName(app_name).config("spark.sql.session.timeZone", "UTC")
+    builder = builder.config("spark.sql.ansi.enabled", "true")
     if master:
         builder = builder.master(master)
     for key, value in {**RUNTIME_SETTINGS, **conf}.items():

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderloom.schemas import TABLES
+from orderloom.operators.keys import keep_first
+from orderloom.schemas import KEYS, TABLES
 
 
 @dataclass(frozen=True)
@@ -43,9 +46,17 @@ def create_source_tables(spark: SparkSession, database: str, location: str) -> l
     return [f"{database}.{name}" for name in TABLES]
 
 
-def load_source_tables(sources: Sources, database: str) -> None:
-    """Append every source frame to its catalog table, cast to the declared types."""
+def load_source_tables(sources: Sources, database: str, unique: bool = False) -> None:
+    """Append every source frame to its catalog table, cast to the declared types.
+
+    Spark enforces no keys. With `unique` one row per declared key is loaded; rows with a
+    NULL in the key are not compared.
+    """
     for name, rows in sources.named().items():
+        if unique:
+            keys = KEYS[name][0]
+            complete = reduce(Column.__and__, [F.col(key).isNotNull() for key in keys])
+            rows = keep_first(rows.where(complete), keys).unionByName(rows.where(~complete))
         typed = rows.select(*[rows[field.name].cast(field.dataType) for field in TABLES[name].fields])
         typed.write.insertInto(f"{database}.{name}")
 

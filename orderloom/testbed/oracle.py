@@ -6,6 +6,7 @@ A query names the ones it needs; DuckDB ignores none, so only those are put in f
 
 from __future__ import annotations
 
+from orderloom.schemas import KEYS, SOURCE_TABLES
 from orderloom.testbed.primitives import PRIMITIVES
 
 SOURCE_CTES = {
@@ -42,7 +43,9 @@ SOURCE_CTES = {
     "src_sellers": """
         SELECT CAST(s_suppkey AS VARCHAR) AS seller_id, 'N' || s_nationkey AS seller_state FROM supplier""",
     "src_geolocation": """
-        SELECT lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS geolocation_zip_code_prefix FROM nation""",
+        SELECT lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS geolocation_zip_code_prefix,
+            n_nationkey AS geolocation_lat, -n_nationkey AS geolocation_lng
+        FROM nation""",
     "fact": """
         SELECT o.order_id, i.order_item_id, i.product_id, i.seller_id, c.customer_unique_id,
             CAST(i.price AS DECIMAL(10,2)) AS price
@@ -123,15 +126,14 @@ INGEST = {
     "create_source_tables": over([name for name in SOURCE_CTES if name.startswith("src_")] + ["fact"], " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {cte}"
         for name, cte in [*[(n, n) for n in SOURCE_CTES if n.startswith("src_")], ("facts_order_items", "fact")])),
-    "key_violations": over(["src_order_items", "src_orders", "src_customers"], """
-        SELECT 'lineitem' AS table_name, count(*) AS keys_repeated, CAST(sum(n) AS BIGINT) AS rows_concerned
-        FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
-        UNION ALL SELECT 'src_order_items', count(*), CAST(coalesce(sum(n), 0) AS BIGINT)
-        FROM (SELECT count(*) AS n FROM src_order_items GROUP BY order_id, order_item_id HAVING count(*) > 1)
-        UNION ALL SELECT 'src_orders', count(*), CAST(coalesce(sum(n), 0) AS BIGINT)
-        FROM (SELECT count(*) AS n FROM src_orders GROUP BY order_id HAVING count(*) > 1)
-        UNION ALL SELECT 'src_customers', count(*), CAST(coalesce(sum(n), 0) AS BIGINT)
-        FROM (SELECT count(*) AS n FROM src_customers GROUP BY customer_id HAVING count(*) > 1)"""),
+    "key_violations": over([name for name in SOURCE_CTES if name.startswith("src_")], " UNION ALL ".join(
+        f"""SELECT '{table}' AS table_name, '{key}' AS key, count(*) AS keys_repeated,
+            CAST(coalesce(sum(n), 0) AS BIGINT) AS rows_concerned
+        FROM (SELECT count(*) AS n FROM {table} GROUP BY {key} HAVING count(*) > 1)"""
+        for table, key in [
+            ("lineitem", "l_orderkey, l_linenumber"),
+            *[(table, ", ".join(columns)) for table in SOURCE_TABLES for columns in KEYS[table]],
+        ])),
 }
 
 STAR = {

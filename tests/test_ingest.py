@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from orderloom.functions.messages import parse_envelope, publish_batch_stats, publish_envelope, triage_messages
 from orderloom.functions.text import sanitize_values
 from orderloom.operators.append import append_if_absent
-from orderloom.operators.keys import keep_first, key_violations
+from orderloom.operators.keys import declared_key_violations, keep_first, key_violations
 from orderloom.schemas import FACT_COLUMNS, FACT_MESSAGE, SOURCE_TABLES, TABLES
 from orderloom.sources import topics
 from orderloom.sources.csv_files import read_source_csv, stream_source_csv, write_source_csv
@@ -199,4 +199,12 @@ def test_tables_are_created_once(spark, tmp_path):
     assert read.order_items.count() == 1 and read.customers.count() == 1 and read.orders.isEmpty()
     for name in SOURCE_TABLES:
         assert spark.table(f"shop_test.{name}").schema == TABLES[name]
+    twice = [item("o2", 1, "p", "s", 2.0), item("o2", 1, "p", "s", 3.0)]
+    nulls = [item(None, 1, "p", "s", 4.0), item(None, 1, "p", "s", 5.0)]
+    repeated = sources(spark, order_items=twice + nulls)
+    found = declared_key_violations({"src_order_items": repeated.order_items}).where("keys_repeated > 0")
+    assert rows_of(found, "keys_repeated", "rows_concerned") == [(2, 4)]
+    load_source_tables(repeated, "shop_test", unique=True)
+    prices = rows_of(read_source_tables(spark, "shop_test").order_items, "price")
+    assert sorted(prices) == [(1.25,), (2.0,), (4.0,), (5.0,)]
     spark.sql("DROP DATABASE shop_test CASCADE")
