@@ -46,10 +46,10 @@ def with_customer_of_order(items: DataFrame, src: Sources) -> DataFrame:
     return _item_lines(items, _customers_orders(src))
 
 
-def _item_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
+def _item_lines(items: DataFrame, orders: DataFrame, how: str = "left") -> DataFrame:
     items = items.withColumn("price", F.col("price").cast(MONEY))
     items = items.withColumnRenamed("order_id", "_item_order")
-    return items.join(orders, F.col("_item_order") == F.col("order_id"), "left")
+    return items.join(orders, F.col("_item_order") == F.col("order_id"), how)
 
 
 def facts_surrogate_id(facts: DataFrame) -> DataFrame:
@@ -86,10 +86,10 @@ class Star:
         self.products = products
         self.sellers = sellers
 
-    def lines(self, with_customer: bool = False) -> DataFrame:
-        """Facts LEFT JOIN order dimension on order_id."""
+    def lines(self, with_customer: bool = False, how: str = "left") -> DataFrame:
+        """Facts joined to the order dimension on order_id; `how` is "left" or "inner"."""
         facts = self.facts if with_customer else self.facts.drop("customer_unique_id")
-        return facts.join(self.orders, "order_id", "left")
+        return facts.join(self.orders, "order_id", how)
 
     def per_order(self) -> DataFrame:
         """Sum of prices in cents per order and customer, with the order's columns.
@@ -117,10 +117,10 @@ class SourceStar(Star):
     products = cached_property(lambda self: dimension_product_data(self.src))
     sellers = cached_property(lambda self: dimension_seller_data(self.src))
 
-    def lines(self, with_customer: bool = False) -> DataFrame:
+    def lines(self, with_customer: bool = False, how: str = "left") -> DataFrame:
         orders = _customers_orders(self.src) if with_customer else self.src.orders
         customer = ["customer_unique_id"] if with_customer else []
-        lines = _item_lines(self.src.order_items, orders)
+        lines = _item_lines(self.src.order_items, orders, how)
         return lines.select("order_id", "product_id", "seller_id", *customer, "price", *ORDER_COLUMNS)
 
     def per_order(self) -> DataFrame:

@@ -1,12 +1,11 @@
 """Every query against DuckDB on the same tables: same columns, types and rows."""
 
-import math
 
 import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from tests.conftest import SF_CHECK, SF_SMALL
+from tests.conftest import SF_CHECK
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels"

@@ -265,7 +265,7 @@ def test_mean_period_needs_two_dated_orders(spark):
 def test_trend_counts_orders_once_and_skips_unknown_orders(spark):
     src = sources(
         spark,
-        orders=[order("o1", "a", "2018-01-05"), order("o2", "a", "2018-01-09"), order("o3", "a", None)],
+        orders=[order("o1", "a", "2018-01-05"), order("o2", "a", "2018-01-09", status=None), order("o3", "a", None)],
         order_items=[
             item("o1", 1, "p", "s", 1.0),
             item("o1", 2, "p", "s", 1.0),
