@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.llm.bpe import encode_decode
 from orderloom.llm.common import ship_package
+from orderloom.llm.fingerprints import edited_neighbours
 from orderloom.llm.packing import pack_documents
 from orderloom.llm.tokenfile import read_token_file, write_token_file
 from orderloom.session import scratch_path, tune
@@ -23,6 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_neighbours(table(spark, sf_dir, "documents"))
+
+
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -39,6 +44,7 @@ def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_fingerprints": fingerprints,
     "op4_packing": packing,
     "op9_token_file": token_file,
     "op10_bpe": bpe,
