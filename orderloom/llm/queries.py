@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderloom.llm.bpe import encode_decode
 from orderloom.llm.common import ship_package
 from orderloom.llm.fingerprints import edited_neighbours
+from orderloom.llm.langid import held_out, identify, learn
+from orderloom.llm.neardup import near_duplicates
 from orderloom.llm.packing import pack_documents
 from orderloom.llm.tokenfile import read_token_file, write_token_file
 from orderloom.session import scratch_path, tune
@@ -28,6 +31,16 @@ def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_neighbours(table(spark, sf_dir, "documents"))
 
 
+def near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
+
+
+def language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = identify(docs, learn(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
+
+
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -45,6 +58,8 @@ def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": fingerprints,
+    "op2_near_duplicates": near_dups,
+    "op3_language": language,
     "op4_packing": packing,
     "op9_token_file": token_file,
     "op10_bpe": bpe,
