@@ -14,6 +14,7 @@ from orderloom.llm.fingerprints import edited_neighbours
 from orderloom.llm.langid import held_out, identify, learn
 from orderloom.llm.neardup import near_duplicates
 from orderloom.llm.packing import pack_documents
+from orderloom.llm.quality import resample
 from orderloom.llm.tokenfile import read_token_file, write_token_file
 from orderloom.session import scratch_path, tune
 
@@ -41,6 +42,11 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
 
 
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resample(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_ngrams", "log_weight", "sample_key", "selected")
+
+
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -61,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op2_near_duplicates": near_dups,
     "op3_language": language,
     "op4_packing": packing,
+    "op6_quality": quality,
     "op9_token_file": token_file,
     "op10_bpe": bpe,
 }
