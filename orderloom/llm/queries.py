@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderloom.llm.ann import search
 from orderloom.llm.bpe import encode_decode
 from orderloom.llm.common import ship_package
 from orderloom.llm.fingerprints import edited_neighbours
@@ -47,6 +48,10 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_ngrams", "log_weight", "sample_key", "selected")
 
 
+def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -68,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op3_language": language,
     "op4_packing": packing,
     "op6_quality": quality,
+    "op7_neighbours": neighbours,
     "op9_token_file": token_file,
     "op10_bpe": bpe,
 }
