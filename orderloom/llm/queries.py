@@ -13,6 +13,7 @@ from orderloom.llm.bpe import encode_decode
 from orderloom.llm.common import ship_package
 from orderloom.llm.fingerprints import edited_neighbours
 from orderloom.llm.langid import held_out, identify, learn
+from orderloom.llm.lm import train_and_score
 from orderloom.llm.neardup import near_duplicates
 from orderloom.llm.packing import pack_documents
 from orderloom.llm.quality import resample
@@ -52,6 +53,10 @@ def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return train_and_score(table(spark, sf_dir, "documents"))
+
+
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -74,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op4_packing": packing,
     "op6_quality": quality,
     "op7_neighbours": neighbours,
+    "op8_lm_scores": lm_scores,
     "op9_token_file": token_file,
     "op10_bpe": bpe,
 }
