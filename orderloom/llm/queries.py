@@ -16,6 +16,7 @@ from orderloom.llm.langid import held_out, identify, learn
 from orderloom.llm.lm import train_and_score
 from orderloom.llm.neardup import near_duplicates
 from orderloom.llm.packing import pack_documents
+from orderloom.llm.pii import pseudonymize
 from orderloom.llm.quality import resample
 from orderloom.llm.tokenfile import read_token_file, write_token_file
 from orderloom.session import scratch_path, tune
@@ -57,6 +58,10 @@ def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train_and_score(table(spark, sf_dir, "documents"))
 
 
+def surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -77,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op2_near_duplicates": near_dups,
     "op3_language": language,
     "op4_packing": packing,
+    "op5_surrogates": surrogates,
     "op6_quality": quality,
     "op7_neighbours": neighbours,
     "op8_lm_scores": lm_scores,
