@@ -3,14 +3,16 @@
 1. A task turns each text into its set of shingle hashes, takes the minima under many hash
    functions, hashes them by bands into buckets, and packs the low bits of the minima.
 2. Documents with one and the same set are one class; only its smallest id goes on.
-3. Buckets with several classes give candidates. A bucket's pivot is tested against all other
-   members: the pivot is the member that shares most buckets with others, so of a group of
-   copies most likely their common source. Pairs whose packed bits agree too rarely for the
+3. Buckets with several classes give candidates. First a bucket's pivot is tested against all
+   other members: the pivot is the member that shares most buckets with others, so of a group
+   of copies most likely their common source. Pairs whose packed bits agree too rarely for the
    wanted similarity, corrected for chance, fall out; the rest is compared set against set.
-4. Linked classes are joined into components. Buckets whose members still lie in different
-   components get more pivots, more in each round, until every pair of a bucket lies in one
-   component or has been tested. So no link between members of a bucket is lost, and a group
-   of m copies costs about m tests, not m * m.
+4. Linked classes are joined into components. In some more rounds each bucket's members
+   outside its largest component are tested against one member of that component, another in
+   each bucket and round; so a large group of copies comes together at a cost in proportion
+   to its rows. What then still lies outside is tested against all members of the bucket, a
+   few at a time. In the end every pair of a bucket lies in one component or has been tested:
+   no link between members of a bucket is lost.
 """
 
 from __future__ import annotations
@@ -207,6 +209,7 @@ def near_duplicates(
     text_col: str = "text",
     shingle_words: int = SHINGLE_WORDS,
     percent: int = PERCENT,
+    linear_rounds: int = 4,
     first_pivots: int = 16,
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest doc_id reachable), kept.
@@ -232,33 +235,33 @@ def near_duplicates(
     wanted = rows.join(crowded.select("doc_id").distinct(), "doc_id", "left_semi")
     sets = store(sets_of(wanted, shingle_words).dropDuplicates(["doc_id"]), "sets")
 
-    links: DataFrame | None = None
+    bits = heads.select("doc_id", "bits")
+    labels = store(weights.select("doc_id", F.col("doc_id").alias("component")), "labels")
+    open_buckets = crowded.withColumn("component", F.col("doc_id"))
     tested: DataFrame | None = None
-    labels = crowded.select("doc_id", F.col("doc_id").alias("component")).distinct()
-    open_buckets, pivots = crowded.withColumn("component", F.col("doc_id")), 1
-    while True:
-        pairs = _pivot_pairs(open_buckets, pivots)
+    number, pivots, last = 0, first_pivots, False
+    while not last:
+        if not number:
+            pairs = _heaviest_pairs(open_buckets)
+        elif number <= linear_rounds:
+            pairs = _picked_pairs(open_buckets, number)
+        else:
+            outside = _outside(open_buckets)
+            largest = outside.groupBy("bucket").count().agg(F.max("count")).collect()[0][0] or 0
+            pairs, last, pivots = _all_pairs(open_buckets, outside, pivots), pivots >= largest, 4 * pivots
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = store(pairs, "pairs")
-        bits = heads.select("doc_id", "bits")
+        tested = pairs if tested is None else tested.unionAll(pairs)
         near = pairs.join(bits.withColumnsRenamed({"doc_id": "a", "bits": "bits_a"}), "a")
         near = near.join(bits.withColumnsRenamed({"doc_id": "b", "bits": "bits_b"}), "b")
         near = near.where(estimate("bits_a", "bits_b") >= percent / 100 - SLACK).select("a", "b")
-        found = store(confirmed(near, sets, percent), "links")
-        tested = pairs if tested is None else tested.unionAll(pairs)
-        links = found if links is None else links.unionAll(found)
-        if not pairs.limit(1).count():
-            break
-        linked = components(links)
-        labels = crowded.select("doc_id").distinct().join(linked, "doc_id", "left").select(
-            "doc_id", F.coalesce("component", "doc_id").alias("component")
-        )
+        labels = joined_up(labels, store(confirmed(near, sets, percent), "links"))
         labelled = crowded.join(labels, "doc_id")
         mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         mixed = mixed.where("low < high").select("bucket")
         open_buckets = store(labelled.join(mixed, "bucket"), "open")
-        pivots = first_pivots if pivots == 1 else pivots * 4
+        number += 1
 
     own = classes.join(labels.select(F.col("doc_id").alias("head"), "component"), "head", "left")
     own = own.select("set_key", F.coalesce("component", "head").alias("component"))
@@ -269,20 +272,48 @@ def near_duplicates(
     )
 
 
-def _pivot_pairs(members: DataFrame, pivots: int) -> DataFrame:
-    """Pairs (pivot, member of another component) of each bucket, each pair once.
+def _pairs(met: DataFrame) -> DataFrame:
+    return met.select(F.least("pivot", "doc_id").alias("a"), F.greatest("pivot", "doc_id").alias("b")).distinct()
 
-    Pivots are the first of a bucket by weight; after the first round only those outside the
-    bucket's heaviest component, since its members are met by the pivots of all others.
-    """
+
+def _heaviest_pairs(members: DataFrame) -> DataFrame:
+    """Each bucket's member that shares most buckets, with all others of the bucket."""
+    most = members.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("doc_id")).alias("id"))).alias("most"))
+    most = most.select("bucket", (-F.col("most.id")).alias("pivot"))
+    return _pairs(members.join(most, "bucket").where("doc_id <> pivot"))
+
+
+def _main(members: DataFrame, number: int) -> DataFrame:
+    """Each bucket's largest component and one of its members, by a hash of bucket and number."""
+    pick = F.struct(F.xxhash64("doc_id", "bucket", F.lit(number)).alias("hash"), "doc_id")
+    each = members.groupBy("bucket", "component").agg(F.count("*").alias("size"), F.min(pick).alias("pick"))
+    most = each.groupBy("bucket").agg(F.max(F.struct("size", "component", "pick")).alias("most"))
+    return most.select("bucket", F.col("most.component").alias("main"), F.col("most.pick.doc_id").alias("pivot"))
+
+
+def _picked_pairs(members: DataFrame, number: int) -> DataFrame:
+    """One member of each bucket's largest component with all members of the other components."""
+    return _pairs(members.join(_main(members, number), "bucket").where("component <> main"))
+
+
+def _outside(members: DataFrame) -> DataFrame:
+    return members.join(_main(members, 0), "bucket").where("component <> main").drop("main", "pivot")
+
+
+def _all_pairs(members: DataFrame, outside: DataFrame, pivots: int) -> DataFrame:
+    """The first few members outside each bucket's largest component, with all of other components."""
     first = Window.partitionBy("bucket").orderBy(F.col("weight").desc(), "doc_id")
-    chosen = members
-    if pivots > 1:
-        main = members.groupBy("bucket", "component").agg(F.count("*").alias("size"))
-        main = main.groupBy("bucket").agg(F.max(F.struct("size", "component")).alias("most"))
-        main = main.select("bucket", F.col("most.component").alias("main"))
-        chosen = members.join(main, "bucket").where("component <> main").drop("main")
-    chosen = chosen.withColumn("place", F.row_number().over(first)).where(F.col("place") <= pivots)
+    chosen = outside.withColumn("place", F.row_number().over(first)).where(F.col("place") <= pivots)
     chosen = chosen.select("bucket", F.col("doc_id").alias("pivot"), F.col("component").alias("pivot_component"))
-    met = members.join(chosen, "bucket").where("component <> pivot_component")
-    return met.select(F.least("pivot", "doc_id").alias("a"), F.greatest("pivot", "doc_id").alias("b")).distinct()
+    return _pairs(members.join(chosen, "bucket").where("component <> pivot_component"))
+
+
+def joined_up(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels (doc_id, component) after linked components have become one."""
+    a = labels.select(F.col("doc_id").alias("a"), F.col("component").alias("x"))
+    b = labels.select(F.col("doc_id").alias("b"), F.col("component").alias("y"))
+    between = links.join(a, "a").join(b, "b").where("x <> y")
+    between = between.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    merged = components(between).select(F.col("doc_id").alias("component"), F.col("component").alias("into"))
+    moved = labels.join(merged, "component", "left")
+    return store(moved.select("doc_id", F.coalesce("into", "component").alias("component")), "labels")
