@@ -1,19 +1,71 @@
-"""A corpus pipeline of five stages: each takes what its predecessor kept."""
+"""A corpus pipeline of five stages: each takes what its predecessor kept.
+
+Language, quality, near-duplicates, personal data, packing. The first three decide which
+documents stay, the fourth rewrites texts, the last gives pieces of sequences. Columns other
+than doc_id, text and lang are carried along; an empty table goes through all stages.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderloom.llm.common import store
+from orderloom.llm.common import ship_package, store
+from orderloom.llm.langid import identify, learn
+from orderloom.llm.neardup import near_duplicates
 from orderloom.llm.packing import pack_documents
+from orderloom.llm.pii import pseudonymize
+from orderloom.llm.quality import resample
 from orderloom.llm.queries import WORD_BPE, table
+from orderloom.session import tune
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told with a margin; those without text or letters go."""
+    docs = _shipped(spark, docs)
+    return identify(docs, learn(docs), keep_columns=True).where("accepted").select(*docs.columns)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents sampled by importance; the share kept is that of documents like the labelled good ones."""
+    docs = _shipped(spark, docs)
+    return resample(docs, table(spark, sf_dir, "labels")).where("selected").select(*docs.columns)
+
 
+def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, that with the smallest id; of repeated rows one."""
+    docs = _shipped(spark, docs)
+    copies = near_duplicates(docs).where("NOT kept").select("doc_id")
+    return docs.join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
 
-def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(docs, WORD_BPE)
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced; n_chars follows a text that has changed."""
+    docs = _shipped(spark, docs)
+    found = pseudonymize(docs)
+    if "n_chars" in docs.columns:
+        length = F.when(F.col("n_entities") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        found = found.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))
+    return found.select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of 4096 tokens."""
+    return pack_documents(_shipped(spark, docs), WORD_BPE)
+
+
+def _shipped(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    ship_package(tune(spark))
+    return docs
 
 
-STAGES = [("packing", pack_stage)]
+STAGES = [
+    ("language", language),
+    ("quality", quality),
+    ("near-duplicates", near_duplicate),
+    ("personal data", personal_data),
+    ("packing", packing),
+]
 # Compression, random sampling, minima and tokenizers have no DuckDB SQL.
 ORACLE_SQL = None
 

@@ -218,7 +218,8 @@ def near_duplicates(
     or empty text, or one without words, has no shingles and is linked with nothing; a text
     with fewer words than a shingle is one shingle. Rows with equal ids count as one class and
     each give a row. Other columns are ignored; an empty table gives no rows. Long texts are
-    used whole.
+    used whole. A null id is linked with nothing and kept; two different texts should not share
+    an id, and if they do, their links count for both.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     signed = store(signatures(rows, shingle_words), "signatures")
@@ -268,7 +269,7 @@ def near_duplicates(
     result = signed.select("doc_id", "n_shingles", "set_key").join(own, "set_key", "left")
     component = F.coalesce("component", "doc_id")
     return result.select(
-        "doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept")
+        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
     )
 
 
