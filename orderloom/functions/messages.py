@@ -24,17 +24,63 @@ def publish_envelope(rows: DataFrame, timestamp_ms: Column | int | None = None)
 def decode(messages: DataFrame, schema: T.StructType) -> DataFrame:
     """`messages` plus struct `message` and flag `undecodable`.
 
-    Undecodable is what is not UTF-8 JSON, is no object, or has a field of another type.
+    Undecodable is what is not UTF-8 JSON, is no object, or has a field of another type. A
+    whole number may be written as a decimal, as writers do for columns with gaps (1.0).
     The explode of one element makes Spark parse a message once; as a plain column the
     parse would be repeated in the filter and in every field taken from it.
     """
-    wanted = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
+    wanted = T.StructType([*_lenient(schema).fields, T.StructField(_BAD, T.StringType())])
     options = {**_JSON, "columnNameOfCorruptRecord": _BAD}
     text = F.try_validate_utf8(F.col("value").cast("string"))
     message = F.from_json(text, wanted, options)
     parsed = messages.select("*", F.explode(F.array(message)).alias("message"))
     bad = F.col("message").isNull() | F.col(f"message.{_BAD}").isNotNull()
-    return parsed.withColumn("undecodable", bad)
+    for path, kind in _whole_numbers(schema, "message"):
+        bad = bad | _odd(path, kind)
+    return parsed.withColumn("undecodable", F.coalesce(bad, F.lit(False))).withColumn("message", _settled("message", schema))
+
+
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_DECIMAL = T.DecimalType(38, 10)
+
+
+def _lenient(schema: T.StructType) -> T.StructType:
+    """The schema with whole numbers read as decimals."""
+    def kind(of: T.DataType) -> T.DataType:
+        if isinstance(of, T.StructType):
+            return _lenient(of)
+        return _DECIMAL if isinstance(of, _WHOLE) else of
+
+    return T.StructType([T.StructField(field.name, kind(field.dataType)) for field in schema.fields])
+
+
+def _whole_numbers(schema: T.StructType, path: str) -> list[tuple[str, T.DataType]]:
+    found = []
+    for field in schema.fields:
+        if isinstance(field.dataType, T.StructType):
+            found += _whole_numbers(field.dataType, f"{path}.{field.name}")
+        elif isinstance(field.dataType, _WHOLE):
+            found.append((f"{path}.{field.name}", field.dataType))
+    return found
+
+
+def _odd(path: str, kind: T.DataType) -> Column:
+    """Whether a number is there that is not whole or does not fit its type."""
+    whole = F.col(path).try_cast(kind)
+    return F.col(path).isNotNull() & (whole.isNull() | (whole.cast(_DECIMAL) != F.col(path)))
+
+
+def _settled(path: str, schema: T.StructType) -> Column:
+    """The struct with the declared types, NULL where it is NULL."""
+    fields = []
+    for field in schema.fields:
+        own = f"{path}.{field.name}"
+        if isinstance(field.dataType, T.StructType):
+            value = _settled(own, field.dataType)
+        else:
+            value = F.col(own).try_cast(field.dataType) if isinstance(field.dataType, _WHOLE) else F.col(own)
+        fields.append(value.alias(field.name))
+    return F.when(F.col(path).isNotNull(), F.struct(*fields))
 
 
 def parse_envelope(messages: DataFrame, data: T.StructType) -> DataFrame:

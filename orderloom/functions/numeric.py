@@ -13,13 +13,13 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from orderloom.schemas import MONEY_SUM
+from orderloom.schemas import MONEY, MONEY_SUM
 
 
 def sum_cents(price: Column | str) -> Column:
-    """Sum of a DECIMAL(10,2) column in cents."""
+    """Sum of a column in cents; a double counts as the nearest amount of money."""
     price = F.col(price) if isinstance(price, str) else price
-    return F.sum((price * 100).cast("bigint"))
+    return F.sum((price.cast(MONEY) * 100).cast("bigint"))
 
 
 def money(cents: Column | str) -> Column:

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.operators.keys import keep_first
-from orderloom.operators.lookup import is_small
+from orderloom.operators.keys import complete, keep_first
 
 RUN_COLUMNS = ["ingest_id", "batch_id"]
 
@@ -36,23 +33,21 @@ def append_if_absent(
     batch_id: int,
     first_by: list[str] | None = None,
 ) -> None:
-    """Write the first row of each new key to `path`; NULL keys equal each other.
+    """Write the first row of each new key to `path`, and every row whose key holds a NULL.
 
+    A NULL equals nothing, so a row with an incomplete key is no repeat of another and is kept.
     Each (ingest_id, batch_id) owns one partition of the target and overwrites it, and is
     left out when looking for existing keys. A batch that runs again after a failure so
-    writes the same rows once more instead of adding to them. One writer per target.
+    writes the same rows once more instead of adding to them; the same input under another
+    ingest_id adds its incomplete rows again. One writer per target.
     """
     columns = [name for name in rows.columns if name not in (first_by or [])]
-    fresh = keep_first(rows, keys, first_by).select(*columns)
+    fresh = keep_first(rows.where(complete(keys)), keys, first_by).select(*columns)
     stored = read_target(fresh, path)
-    if stored is None:
-        return write_run(fresh, path, ingest_id, batch_id)
-    own = (F.col("ingest_id") == ingest_id) & (F.col("batch_id") == batch_id)
-    fresh = fresh.persist()
-    try:
-        write_run(_absent(fresh, stored.where(~own).select(*keys), keys), path, ingest_id, batch_id)
-    finally:
-        fresh.unpersist()
+    if stored is not None:
+        own = (F.col("ingest_id") == ingest_id) & (F.col("batch_id") == batch_id)
+        fresh = fresh.join(stored.where(~own).select(*keys), keys, "left_anti").select(*columns)
+    write_run(fresh.unionByName(rows.where(~complete(keys)).select(*columns)), path, ingest_id, batch_id)
 
 
 def write_run(rows: DataFrame, path: str, ingest_id: str, batch_id: int) -> None:
@@ -60,19 +55,3 @@ def write_run(rows: DataFrame, path: str, ingest_id: str, batch_id: int) -> None
     owned = rows.withColumn("ingest_id", F.lit(ingest_id)).withColumn("batch_id", F.lit(batch_id))
     writer = owned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*RUN_COLUMNS).parquet(path)
-
-
-def _absent(fresh: DataFrame, stored_keys: DataFrame, keys: list[str]) -> DataFrame:
-    """`fresh` without the stored keys.
-
-    The target outgrows every batch. If the new keys are few, they go to the target's scan
-    and only the hits come back, so the target is not shuffled; otherwise both sides are.
-    """
-    new_keys = fresh.select(*keys)
-    if is_small(fresh):
-        stored_keys = stored_keys.join(F.broadcast(new_keys), _same(stored_keys, new_keys, keys), "left_semi")
-    return fresh.join(stored_keys, _same(fresh, stored_keys, keys), "left_anti")
-
-
-def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(Column.__and__, [left[name].eqNullSafe(right[name]) for name in keys])

@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 
 from orderloom.session import shared_dir
 
-# Up to this many rows one task may rank them all.
-SINGLE_TASK_ROWS = 200_000
-
-
 def asc(name: str) -> Column:
     return F.col(name).asc_nulls_last()
 
@@ -30,13 +26,6 @@ def _order(sorts: list[tuple[str, str]]) -> list[Column]:
     return [desc(name) if way == "desc" else asc(name) for name, way in sorts]
 
 
-def checkpoint_and_count(rows: DataFrame) -> tuple[DataFrame, bool]:
-    """The rows, computed once, and whether they are few enough for one task."""
-    shared_dir(rows.sparkSession)
-    rows = rows.checkpoint()
-    return rows, rows.count() <= SINGLE_TASK_ROWS
-
-
 def with_ranks(
     rows: DataFrame,
     order_by: list[tuple[str, str]],
@@ -47,24 +36,22 @@ def with_ranks(
     rank: str | None = None,
     percent_rank: str | None = None,
     ranges: int | None = None,
-    single_task: bool = False,
 ) -> DataFrame:
     """Add the named rank columns, as SQL defines them.
 
     `order_by` holds pairs of column name and "asc" or "desc"; NULLs sort last either way.
     `tiebreak` columns order rows that are equal under `order_by` for `row_number`, and let
     their ranges be split; they do not change `rank` and `percent_rank`. By default Spark
-    chooses the number of ranges from the data volume. `single_task` uses plain windows, for
-    rows that `checkpoint_and_count` has found to be few.
+    chooses the number of ranges from the data volume.
     """
     shared_dir(rows.sparkSession)
     partition_by, tiebreak = partition_by or [], tiebreak or []
     if percent_rank and partition_by:
-        raise NotImplementedError("percent_rank is offered over all rows only")
-    if single_task:
-        return _plain_windows(rows, order_by, partition_by, tiebreak, row_number, rank, percent_rank)
+        raise ValueError("percent_rank takes no partition_by")
     sorts = [(name, "asc") for name in partition_by] + order_by + [(name, "asc") for name in tiebreak]
     order = _order(sorts)
+    if row_number and not (rank or percent_rank or partition_by):
+        return _numbered(rows, order, row_number, ranges)
     # Columns that define a group: the partition, and the partition with the ranked values.
     levels = {"p": len(partition_by)} if partition_by else {}
     if rank or percent_rank:
@@ -99,17 +86,21 @@ def with_ranks(
     return placed.select(*rows.columns, *[value.alias(name) for name, value in added.items()])
 
 
-def _plain_windows(rows, order_by, partition_by, tiebreak, row_number, rank, percent_rank) -> DataFrame:
-    values = Window.partitionBy(*partition_by).orderBy(*_order(order_by))
-    unique = Window.partitionBy(*partition_by).orderBy(*_order(order_by + [(name, "asc") for name in tiebreak]))
-    added = {}
-    if row_number:
-        added[row_number] = F.row_number().over(unique).cast("bigint")
-    if rank:
-        added[rank] = F.rank().over(values).cast("bigint")
-    if percent_rank:
-        added[percent_rank] = F.percent_rank().over(values)
-    return rows.withColumns(added)
+def _numbered(rows: DataFrame, order: list[Column], row_number: str, ranges: int | None) -> DataFrame:
+    """Row numbers over all rows: one exchange, a sort within the ranges and no window over them.
+
+    An id that grows within a range holds the range in its upper bits and the place in its
+    lower 33, so both are read off it; what comes before a range is summed over one row a range.
+    """
+    ranged = rows.repartitionByRange(*([ranges] if ranges else []), *order).sortWithinPartitions(*order)
+    ranged = ranged.withColumn("_place", F.monotonically_increasing_id()).checkpoint()
+    span = F.shiftright("_place", 33).alias("_range")
+    sizes = ranged.groupBy(span).agg(F.count("*").alias("_rows"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    placed = ranged.withColumn("_range", span).join(F.broadcast(before), "_range")
+    within = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.select(*rows.columns, (F.col("_before") + within + 1).alias(row_number))
 
 
 def _summary(ranged: DataFrame, levels: dict[str, list[str]]) -> DataFrame:

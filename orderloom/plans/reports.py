@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.numeric import mean_of, money, percent_change, sum_cents, units
 from orderloom.functions.temporal import months, truncate
-from orderloom.operators.lookup import is_small
-from orderloom.operators.ranking import asc, checkpoint_and_count, desc, with_ranks
+from orderloom.operators.ranking import asc, desc, with_ranks
 from orderloom.plans.star import Star
 from orderloom.schemas import DELIVERED
 
@@ -31,13 +30,8 @@ def most_valuable_customers(star: Star) -> DataFrame:
         F.count("order_id").alias("total_orders"),
         F.max(DELIVERY).alias("last_order_date"),
     )
-    groups, few = checkpoint_and_count(groups)
     ranked = with_ranks(
-        groups,
-        [("_cents", "desc")],
-        tiebreak=["customer_unique_id", "_month"],
-        rank="customer_rating",
-        single_task=few,
+        groups, [("_cents", "desc")], tiebreak=["customer_unique_id", "_month"], rank="customer_rating"
     )
     shown = ranked.select(
         "customer_unique_id", money("_cents").alias("total_spent"), "total_orders", "last_order_date", "customer_rating"
@@ -100,14 +94,11 @@ def top_ten_products_q_by_category(star: Star, top_n: int = 10) -> DataFrame:
 def _monthly_sales(star: Star, dimension: DataFrame, key: str, attribute: str) -> DataFrame:
     """Cents and number of prices per attribute of the dimension and month of purchase.
 
-    A small dimension is looked up per line, which leaves few groups. With a large one the
-    lines are added up per key and month first, so what is joined has no hot key and is
-    smaller than the fact.
+    The lines are added up per key and month first, so what is joined has no hot key and is
+    smaller than the fact; how it is joined is left to the sizes Spark measures.
     """
     lines = star.lines().withColumn("month", truncate(PURCHASE, "month"))
     sums = [sum_cents("price").alias("cents"), F.count("price").alias("prices")]
-    if is_small(dimension):
-        return lines.join(F.broadcast(dimension), key, "left").groupBy(attribute, "month").agg(*sums)
     per_key = lines.groupBy(key, "month").agg(*sums).join(dimension, key, "left")
     return per_key.groupBy(attribute, "month").agg(F.sum("cents").alias("cents"), F.sum("prices").alias("prices"))
 
@@ -198,10 +189,9 @@ def seller_rating(star: Star, revenue_weight: float = 0.5, price_weight: float =
     metrics = last_year.groupBy("seller_id").agg(
         sum_cents("price").alias("_revenue"), mean_of(units(sum_cents("price")), F.count("price")).alias("_mean_price")
     )
-    metrics, few = checkpoint_and_count(metrics)
 
     def ranked(rows: DataFrame, by: str, **rank: str) -> DataFrame:
-        return with_ranks(rows, [(by, "desc")], tiebreak=["seller_id"], single_task=few, **rank)
+        return with_ranks(rows, [(by, "desc")], tiebreak=["seller_id"], **rank)
 
     metrics = ranked(metrics, "_revenue", percent_rank="_by_revenue")
     metrics = ranked(metrics, "_mean_price", percent_rank="_by_price")

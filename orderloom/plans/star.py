@@ -92,12 +92,14 @@ class Star:
         return facts.join(self.orders, "order_id", how)
 
     def per_order(self) -> DataFrame:
-        """Sum of prices in cents per order and customer, with the order's columns.
+        """Sum of prices in cents per order, with its customer and the order's columns.
 
         Items are added up before the join, so an order with very many items is small by
-        then. Items without a known order may come as several rows with NULLs.
+        then. The customer follows from the order; items without a known order are one row.
         """
-        sums = self.facts.groupBy("order_id", "customer_unique_id").agg(sum_cents("price").alias("order_cents"))
+        sums = self.facts.groupBy("order_id").agg(
+            F.max("customer_unique_id").alias("customer_unique_id"), sum_cents("price").alias("order_cents")
+        )
         return sums.join(self.orders, "order_id", "left")
 
 

@@ -16,6 +16,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
+CLEANED = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -31,7 +32,7 @@ def build_session(app_name: str = "orderloom", master: str | None = None, **conf
     builder = builder.config("spark.sql.ansi.enabled", "true")
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_SETTINGS, **conf}.items():
+    for key, value in {**RUNTIME_SETTINGS, **CLEANED, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -39,7 +40,8 @@ def build_session(app_name: str = "orderloom", master: str | None = None, **conf
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, taken from spark.checkpoint.dir.
 
-    Only a local session may go without the setting; it then gets a temporary folder.
+    Only a local session may go without the setting; it then gets a temporary folder. That the
+    folder is shared is for whoever sets it: a file: path may be a mounted share or not.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)

@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.operators.keys import keep_first
+from orderloom.operators.keys import complete, keep_first
 from orderloom.schemas import KEYS, TABLES
 
 
@@ -49,14 +47,15 @@ def create_source_tables(spark: SparkSession, database: str, location: str) -> l
 def load_source_tables(sources: Sources, database: str, unique: bool = False) -> None:
     """Append every source frame to its catalog table, cast to the declared types.
 
-    Spark enforces no keys. With `unique` one row per declared key is loaded; rows with a
-    NULL in the key are not compared.
+    Spark enforces no keys. With `unique` a row is loaded only if no row of the table or of
+    this load has its key; rows with a NULL in the key are not compared.
     """
     for name, rows in sources.named().items():
         if unique:
             keys = KEYS[name][0]
-            complete = reduce(Column.__and__, [F.col(key).isNotNull() for key in keys])
-            rows = keep_first(rows.where(complete), keys).unionByName(rows.where(~complete))
+            held = rows.sparkSession.table(f"{database}.{name}").select(*keys)
+            fresh = keep_first(rows.where(complete(keys)), keys).join(held, keys, "left_anti").select(*rows.columns)
+            rows = fresh.unionByName(rows.where(~complete(keys)))
         typed = rows.select(*[rows[field.name].cast(field.dataType) for field in TABLES[name].fields])
         typed.write.insertInto(f"{database}.{name}")
 

@@ -26,19 +26,23 @@ def stream_facts(
 
     By default the query takes what is there and ends. Offsets and batch ids live in
     `checkpoint`; the query id kept there marks the rows of this stream in the target.
+    Messages that cannot be decoded go to `quarantine`, by default a folder beside the target.
     `sanitize` replaces quotes in the strings, for targets that need it.
     """
+    quarantine = quarantine or f"{target.rstrip('/')}_undecodable"
     context = messages.sparkSession.sparkContext
 
     def store(batch: DataFrame, batch_id: int) -> None:
         ingest_id = context.getLocalProperty("sql.streaming.queryId")
-        decoded = decode(batch, envelope(FACT_MESSAGE))
+        decoded = decode(batch, envelope(FACT_MESSAGE)).persist()
         facts = decoded.where(~F.col("undecodable")).select(F.col("message.timestamp").alias("_sent"), "message.data.*")
         if sanitize:
             facts = sanitize_values(facts, facts.schema)
-        append_if_absent(facts, target, FACT_KEYS, ingest_id, batch_id, first_by=["_sent"])
-        if quarantine:
+        try:
+            append_if_absent(facts, target, FACT_KEYS, ingest_id, batch_id, first_by=["_sent"])
             write_run(decoded.where("undecodable").select("value"), quarantine, ingest_id, batch_id)
+        finally:
+            decoded.unpersist()
 
     writer = messages.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return (writer if continuous else writer.trigger(availableNow=True)).start()

@@ -119,7 +119,9 @@ INGEST = {
             count(*) FILTER (WHERE event_type = 'error') AS errors,
             count(*) FILTER (WHERE event_type = 'signup') AS undecodable FROM events""",
     "stream_facts": over(["src_order_items"], MESSAGE_FACT_SQL),
-    "append_if_absent": over(["fact"], FACT_SQL),
+    "append_if_absent": over(["fact"], f"""{FACT_SQL} UNION ALL
+        SELECT NULL, NULL, product_id, seller_id, customer_unique_id, CAST(price AS DOUBLE) AS price FROM fact
+        WHERE order_item_id = 1"""),
     "sanitize_values": """
         SELECT doc_id, replace(lang || '''s ' || source, '''', '?') AS source, replace(text, '''', '?') AS text, n_chars
         FROM documents""",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from orderloom.functions.messages import parse_envelope, publish_batch_stats, publish_envelope, triage_messages
 from orderloom.functions.text import sanitize_values
 from orderloom.operators.append import append_if_absent
-from orderloom.operators.keys import declared_key_violations, keep_first, key_violations
+from orderloom.operators.keys import declared_key_violations, incomplete_keys, keep_first, key_violations
 from orderloom.schemas import FACT_COLUMNS, FACT_MESSAGE, SOURCE_TABLES, TABLES
 from orderloom.sources import topics
 from orderloom.sources.csv_files import read_source_csv, stream_source_csv, write_source_csv
@@ -72,18 +72,18 @@ def test_retried_batch_writes_the_same_rows(spark, tmp_path):
     for _ in range(2):
         append_if_absent(rows, target, ["k"], "run", 1)
     stored = spark.read.parquet(target)
-    assert sorted(rows_of(stored, "k", "v"), key=str) == [("a", 1), ("b", 3), (None, 4)]
+    assert sorted(rows_of(stored, "k", "v"), key=str) == [("a", 1), ("b", 3), (None, 4), (None, 5)]
 
 
-@pytest.mark.parametrize("limit", [0, 1000])
-def test_append_gives_the_same_with_and_without_broadcast(spark, tmp_path, monkeypatch, limit):
-    monkeypatch.setattr("orderloom.operators.lookup.BROADCAST_ROWS", limit)
+def test_append_keeps_one_row_a_key_and_all_without_key(spark, tmp_path):
     target = str(tmp_path / "facts")
     ids = spark.range(300).select(F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 50).alias("k"), "id")
     append_if_absent(ids.where("id < 40"), target, ["k"], "run", 0)
     append_if_absent(ids, target, ["k"], "run", 1)
     stored = spark.read.parquet(target)
-    assert stored.count() == ids.select("k").distinct().count() == stored.select("k").distinct().count()
+    # 0 to 39 hold 14 ids without a key, which the second run adds again.
+    assert stored.where("k IS NULL").count() == 100 + 14
+    assert stored.where("k IS NOT NULL").count() == ids.where("k IS NOT NULL").select("k").distinct().count()
     assert key_violations(stored, ["k"]).isEmpty()
 
 
@@ -171,6 +171,39 @@ def test_csv_with_byte_order_mark_and_stream(spark, tmp_path):
     assert rows_of(spark.table("translations")) == [("beleza", "beauty")]
 
 
+def test_csv_is_read_by_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(
+        'seller_state,more,seller_id,seller_city,seller_zip_code_prefix\n'
+        'SP,"a ""b"" c, d",s1,Santos,01\n"R\nJ",x,s2,,02\n',
+        encoding="utf-8",
+    )
+    read = read_source_csv(spark, str(tmp_path / "a.csv"), "src_sellers", multi_line=True)
+    assert sorted(rows_of(read.select("seller_id", "seller_state"))) == [("s1", "SP"), ("s2", "R\nJ")]
+    (tmp_path / "b.csv").write_text("seller_state\nSP\n")
+    with pytest.raises(ValueError, match="seller_id"):
+        read_source_csv(spark, str(tmp_path / "b.csv"), "src_sellers")
+    header = "geolocation_zip_code_prefix,geolocation_lat,geolocation_lng,geolocation_city,geolocation_state"
+    (tmp_path / "c.csv").write_text(f"{header}\n01,1.5,2,a,SP\n02,much,2,a,SP\n03,,2,a,SP\n")
+    good = read_source_csv(spark, str(tmp_path / "c.csv"), "src_geolocation", quarantine=str(tmp_path / "bad"))
+    assert sorted(rows_of(good), key=str) == [("01", 1.5, 2.0, "a", "SP"), ("03", None, 2.0, "a", "SP")]
+    assert rows_of(spark.read.parquet(str(tmp_path / "bad"))) == [("02", "much", "2", "a", "SP")]
+
+
+def test_no_message_is_lost(spark, tmp_path):
+    root, target = tmp_path / "topics", tmp_path / "facts"
+    lost = {"product_id": "q"}
+    texts = [_message("o1", 1.0), _message("o2", 1.5), _message("o3", 1, float("nan")), "{}", "{", _message(None, None), _message(None, None, **lost)]
+    _put(root, "a.txt", *texts)
+    stored = _load(spark, root, target, tmp_path / "c")
+    assert sorted(stored, key=str) == [("o1", 1, Decimal("1.50")), *[(None, None, Decimal("1.50"))] * 2, (None, None, None)]
+    assert spark.read.parquet(f"{target}_undecodable").count() == len(texts) - len(stored)
+
+
+def test_a_stamped_message_beats_one_without_time(spark):
+    rows = spark.createDataFrame([("a", None, "x"), ("a", 7, "y")], "k string, t int, v string")
+    assert rows_of(keep_first(rows, ["k"], ["t"])) == [("a", 7, "y")]
+
+
 def test_kafka_options_and_keys(spark):
     servers = ["one:9092", "two:9092"]
     assert topics.kafka_sink_options(servers, "producer") == {
@@ -203,8 +236,11 @@ def test_tables_are_created_once(spark, tmp_path):
     nulls = [item(None, 1, "p", "s", 4.0), item(None, 1, "p", "s", 5.0)]
     repeated = sources(spark, order_items=twice + nulls)
     found = declared_key_violations({"src_order_items": repeated.order_items}).where("keys_repeated > 0")
-    assert rows_of(found, "keys_repeated", "rows_concerned") == [(2, 4)]
+    assert rows_of(found, "keys_repeated", "rows_concerned") == [(1, 2)]
+    assert incomplete_keys(repeated.order_items, ["order_id", "order_item_id"]).count() == 2
     load_source_tables(repeated, "shop_test", unique=True)
     prices = rows_of(read_source_tables(spark, "shop_test").order_items, "price")
     assert sorted(prices) == [(1.25,), (2.0,), (4.0,), (5.0,)]
+    load_source_tables(sources(spark, order_items=twice + [item("o1", 1, "p", "s", 9.0)]), "shop_test", unique=True)
+    assert sorted(rows_of(read_source_tables(spark, "shop_test").order_items, "price")) == sorted(prices)
     spark.sql("DROP DATABASE shop_test CASCADE")
