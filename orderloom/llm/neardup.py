@@ -249,14 +249,14 @@ def near_duplicates(
         else:
             outside = _outside(open_buckets)
             largest = outside.groupBy("bucket").count().agg(F.max("count")).collect()[0][0] or 0
-            pairs, last, pivots = _all_pairs(open_buckets, outside, pivots), pivots >= largest, 4 * pivots
+            pairs, last, pivots = _all_pairs(open_buckets, outside, bits, pivots, percent), pivots >= largest, 4 * pivots
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = store(pairs, "pairs")
         tested = pairs if tested is None else tested.unionAll(pairs)
         near = pairs.join(bits.withColumnsRenamed({"doc_id": "a", "bits": "bits_a"}), "a")
         near = near.join(bits.withColumnsRenamed({"doc_id": "b", "bits": "bits_b"}), "b")
-        near = near.where(estimate("bits_a", "bits_b") >= percent / 100 - SLACK).select("a", "b")
+        near = near.where(_alike("bits_a", "bits_b", percent)).select("a", "b")
         labels = joined_up(labels, store(confirmed(near, sets, percent), "links"))
         labelled = crowded.join(labels, "doc_id")
         mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -301,12 +301,20 @@ def _outside(members: DataFrame) -> DataFrame:
     return members.join(_main(members, 0), "bucket").where("component <> main").drop("main", "pivot")
 
 
-def _all_pairs(members: DataFrame, outside: DataFrame, pivots: int) -> DataFrame:
-    """The first few members outside each bucket's largest component, with all of other components."""
+def _all_pairs(members: DataFrame, outside: DataFrame, bits: DataFrame, pivots: int, percent: int) -> DataFrame:
+    """The first few members outside each bucket's largest component, with all of other components.
+
+    The packed bits are compared within the join, so it puts out only pairs that may be linked.
+    """
     first = Window.partitionBy("bucket").orderBy(F.col("weight").desc(), "doc_id")
-    chosen = outside.withColumn("place", F.row_number().over(first)).where(F.col("place") <= pivots)
-    chosen = chosen.select("bucket", F.col("doc_id").alias("pivot"), F.col("component").alias("pivot_component"))
-    return _pairs(members.join(chosen, "bucket").where("component <> pivot_component"))
+    chosen = outside.withColumn("place", F.row_number().over(first)).where(F.col("place") <= pivots).join(bits, "doc_id")
+    chosen = chosen.selectExpr("bucket AS met", "doc_id AS pivot", "component AS pivot_component", "bits AS pivot_bits")
+    met = (F.col("bucket") == F.col("met")) & (F.col("component") != F.col("pivot_component"))
+    return _pairs(members.join(bits, "doc_id").join(chosen, met & _alike("bits", "pivot_bits", percent)))
+
+
+def _alike(a: str, b: str, percent: int) -> Column:
+    return estimate(a, b) >= percent / 100 - SLACK
 
 
 def joined_up(labels: DataFrame, links: DataFrame) -> DataFrame:
