@@ -10,9 +10,10 @@
 4. Linked classes are joined into components. In some more rounds each bucket's members
    outside its largest component are tested against one member of that component, another in
    each bucket and round; so a large group of copies comes together at a cost in proportion
-   to its rows. What then still lies outside is tested against all members of the bucket, a
-   few at a time. In the end every pair of a bucket lies in one component or has been tested:
-   no link between members of a bucket is lost.
+   to its rows. What then still lies outside meets the members of other components by its
+   rarest shingles (the prefix filter of set similarity joins, which is exact). In the end
+   every pair of a bucket lies in one component, has been tested or has too few shingles in
+   common: no link between members of a bucket is lost.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ WORDS = BANDS * ROWS * LOW_BITS // 64  # 64-bit words of a packed signature
 SLACK = 0.2
 SHINGLE_WORDS = 5
 PERCENT = 80
+SIZE_STEP = 1.05  # sizes of one class differ by this factor at most
 _SEEDS = np.array([xxhash.xxh3_64_intdigest(b"minimum", seed) for seed in range(BANDS * ROWS)], np.uint64)
 _FACTORS = np.array([xxhash.xxh3_64_intdigest(b"factor", seed) | 1 for seed in range(BANDS * ROWS)], np.uint64)
 
@@ -210,7 +212,6 @@ def near_duplicates(
     shingle_words: int = SHINGLE_WORDS,
     percent: int = PERCENT,
     linear_rounds: int = 4,
-    first_pivots: int = 16,
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest doc_id reachable), kept.
 
@@ -240,16 +241,13 @@ def near_duplicates(
     labels = store(weights.select("doc_id", F.col("doc_id").alias("component")), "labels")
     open_buckets = crowded.withColumn("component", F.col("doc_id"))
     tested: DataFrame | None = None
-    number, pivots, last = 0, first_pivots, False
-    while not last:
+    for number in range(linear_rounds + 2):
         if not number:
             pairs = _heaviest_pairs(open_buckets)
         elif number <= linear_rounds:
             pairs = _picked_pairs(open_buckets, number)
         else:
-            outside = _outside(open_buckets)
-            largest = outside.groupBy("bucket").count().agg(F.max("count")).collect()[0][0] or 0
-            pairs, last, pivots = _all_pairs(open_buckets, outside, bits, pivots, percent), pivots >= largest, 4 * pivots
+            pairs = _rest_pairs(open_buckets, sets, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = store(pairs, "pairs")
@@ -262,7 +260,6 @@ def near_duplicates(
         mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         mixed = mixed.where("low < high").select("bucket")
         open_buckets = store(labelled.join(mixed, "bucket"), "open")
-        number += 1
 
     own = classes.join(labels.select(F.col("doc_id").alias("head"), "component"), "head", "left")
     own = own.select("set_key", F.coalesce("component", "head").alias("component"))
@@ -301,16 +298,38 @@ def _outside(members: DataFrame) -> DataFrame:
     return members.join(_main(members, 0), "bucket").where("component <> main").drop("main", "pivot")
 
 
-def _all_pairs(members: DataFrame, outside: DataFrame, bits: DataFrame, pivots: int, percent: int) -> DataFrame:
-    """The first few members outside each bucket's largest component, with all of other components.
+def _rest_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of the buckets' members outside their largest component with members of other components.
 
-    The packed bits are compared within the join, so it puts out only pairs that may be linked.
+    Shingles are ordered by how many of these members have them. Sets of n and m shingles are
+    alike enough only with `need` = percent * (n + m) / (100 + percent) in common, so the first
+    common one is among the first n - need + 1 and m - need + 1, and what follows it in either
+    set must still suffice. Sets meet by shingle and by the classes of both sizes.
     """
-    first = Window.partitionBy("bucket").orderBy(F.col("weight").desc(), "doc_id")
-    chosen = outside.withColumn("place", F.row_number().over(first)).where(F.col("place") <= pivots).join(bits, "doc_id")
-    chosen = chosen.selectExpr("bucket AS met", "doc_id AS pivot", "component AS pivot_component", "bits AS pivot_bits")
-    met = (F.col("bucket") == F.col("met")) & (F.col("component") != F.col("pivot_component"))
-    return _pairs(members.join(bits, "doc_id").join(chosen, met & _alike("bits", "pivot_bits", percent)))
+    apart = _outside(members).select("doc_id", F.lit(True).alias("apart")).distinct()
+    docs = members.select("doc_id", "component").distinct().join(apart, "doc_id", "left")
+    shingles = docs.join(sets, "doc_id").select(
+        "doc_id", "component", "apart", F.size("shingles").cast("bigint").alias("n"), F.explode("shingles").alias("shingle")
+    )
+    shingles = store(shingles, "shingles")
+    holders = shingles.groupBy("shingle").agg(F.count("*").alias("holders"))
+    rare = Window.partitionBy("doc_id").orderBy("holders", "shingle")
+    placed = shingles.join(holders, "shingle").withColumn("place", F.row_number().over(rare)).where("holders > 1")
+    placed = placed.withColumn("own", _size_class(F.col("n")))
+    low, high = F.col("n") * percent / 100, F.col("n") * 100 / percent
+    placed = placed.withColumn("other", F.explode(F.sequence(_size_class(low), _size_class(high))))
+    least = F.floor(F.pow(F.lit(SIZE_STEP), F.col("other")) * (1 - 1e-9))  # no set of that class is smaller
+    posted = store(placed.where((100 + percent) * (F.col("n") - F.col("place") + 1) >= percent * (F.col("n") + least)), "posted")
+    x = posted.where("apart").select("shingle", *(F.col(c).alias(f"x_{c}") for c in ("doc_id", "component", "n", "place", "own", "other")))
+    y = posted.select("shingle", *(F.col(c).alias(f"y_{c}") for c in ("doc_id", "component", "n", "place", "own", "other")))
+    enough = F.expr(f"{100 + percent} * (1 + least(x_n - x_place, y_n - y_place)) >= {percent} * (x_n + y_n)")
+    classes = (F.col("x_own") == F.col("y_other")) & (F.col("x_other") == F.col("y_own"))
+    met = x.join(y, (x.shingle == y.shingle) & classes & (F.col("x_component") != F.col("y_component")) & enough)
+    return _pairs(met.select(F.col("x_doc_id").alias("pivot"), F.col("y_doc_id").alias("doc_id")))
+
+
+def _size_class(size: Column) -> Column:
+    return F.floor(F.log(size) / F.log(F.lit(SIZE_STEP)) + 1e-9)
 
 
 def _alike(a: str, b: str, percent: int) -> Column:

@@ -231,7 +231,7 @@ def test_near_duplicates_equal_brute_force(spark, docs, nothing, size):
             texts.append(" ".join(near))
     label, sizes = _brute_components(texts, size, 80)
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    found = by_id(neardup.near_duplicates(rows, shingle_words=size, linear_rounds=1, first_pivots=1))
+    found = by_id(neardup.near_duplicates(rows, shingle_words=size, linear_rounds=1))
     assert [(found[k]["component_id"], found[k]["n_shingles"], found[k]["kept"]) for k in range(len(texts))] == [
         (label[k], sizes[k], label[k] == k) for k in range(len(texts))
     ]
