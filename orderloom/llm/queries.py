@@ -18,7 +18,10 @@ from orderloom.llm.neardup import near_duplicates
 from orderloom.llm.packing import pack_documents
 from orderloom.llm.pii import pseudonymize
 from orderloom.llm.quality import resample
+from orderloom.llm.sharding import shard_documents
+from orderloom.llm.spelling import spelling_groups
 from orderloom.llm.tokenfile import read_token_file, write_token_file
+from orderloom.llm.whitening import whiten
 from orderloom.session import scratch_path, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +80,28 @@ def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Law `bytes`: the order of the texts' hashes is cut where the bytes come out equal."""
+    found = shard_documents(table(spark, sf_dir, "documents"))
+    return found.select(
+        "document.doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(table(spark, sf_dir, "documents"), slip_every=31)
+
+
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": fingerprints,
     "op2_near_duplicates": near_dups,
@@ -88,5 +113,8 @@ QUERIES: dict[str, Query] = {
     "op8_lm_scores": lm_scores,
     "op9_token_file": token_file,
     "op10_bpe": bpe,
+    "op11_shards": shards,
+    "op12_whitening": whitened,
+    "op13_spelling": variants,
 }
 ORACLE: dict[str, str] = {}
