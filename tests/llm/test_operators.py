@@ -328,7 +328,7 @@ def test_neighbours(spark):
     assert got.keys() == want.keys()
     hits = 0
     for n, away in want.items():
-        own = [got[n][k] for k in range(1, 11)]
+        own = [got[n][k] for k in range(1, 14)]
         assert own == sorted(own)
         hits += len({m for _, m in own} & {m for _, m in away})
     assert hits >= 0.9 * 10 * len(want)
@@ -367,5 +367,5 @@ def test_pipeline_stages(spark, docs, nothing):
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert public_tokenizers.path("byte_bpe_50k.json") == BYTE_BPE
