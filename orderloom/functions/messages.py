@@ -40,6 +40,29 @@ def decode(messages: DataFrame, schema: T.StructType) -> DataFrame:
     return parsed.withColumn("undecodable", F.coalesce(bad, F.lit(False))).withColumn("message", _settled("message", schema))
 
 
+def decode_topics(messages: DataFrame, schemas: dict[str, T.StructType]) -> DataFrame:
+    """`messages` plus, for the n-th topic, struct `message_<n>` with `timestamp` and `data`, and flag `undecodable`.
+
+    A message is parsed once, by the schema of its own topic; one of a topic that is not
+    named is undecodable. The rest is as decode() says.
+    """
+    text = F.try_validate_utf8(F.col("value").cast("string"))
+    options = {**_JSON, "columnNameOfCorruptRecord": _BAD}
+    parses, settled, bad = [], [], F.lit(None).cast("boolean")
+    for n, (topic, schema) in enumerate(schemas.items()):
+        whole = envelope(schema)
+        wanted = T.StructType([*_lenient(whole).fields, T.StructField(_BAD, T.StringType())])
+        parses.append(F.when(F.col("topic") == topic, F.from_json(text, wanted, options)).alias(f"m{n}"))
+        path = f"_parsed.m{n}"
+        odd = F.col(path).isNull() | F.col(f"{path}.{_BAD}").isNotNull()
+        for own, kind in _whole_numbers(whole, path):
+            odd = odd | _odd(own, kind)
+        bad = F.coalesce(bad, F.when(F.col("topic") == topic, F.coalesce(odd, F.lit(False))))
+        settled.append(_settled(path, whole).alias(f"message_{n}"))
+    parsed = messages.select("*", F.explode(F.array(F.struct(*parses))).alias("_parsed"))
+    return parsed.select(*messages.columns, F.coalesce(bad, F.lit(True)).alias("undecodable"), *settled)
+
+
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _DECIMAL = T.DecimalType(38, 10)
 

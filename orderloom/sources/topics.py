@@ -12,6 +12,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+MOST_OFFSETS = 5_000_000  # messages of a stream's batch, so that a first batch does not hold a whole topic
 # Delivery settings of the producer.
 PRODUCER_OPTIONS = {"kafka.acks": "all", "kafka.retries": "3", "kafka.compression.type": "gzip"}
 
@@ -52,8 +53,13 @@ def publish_kafka(keyed: DataFrame, servers: list[str], client_id: str = "produc
     keyed.write.format("kafka").options(**kafka_sink_options(servers, client_id)).save()
 
 
-def publish_files(keyed: DataFrame, root: str) -> None:
-    """Append the messages to the folder topics under `root`."""
+def publish_files(keyed: DataFrame, root: str, files: int | None = None) -> None:
+    """Append the messages to the folder topics under `root`.
+
+    A packed file is read by one task, so ask for as many `files` a topic as tasks shall read.
+    """
+    if files:
+        keyed = keyed.repartition(files, F.xxhash64("value"))
     lines = keyed.select("topic", "value")
     lines.write.mode("append").partitionBy("topic").option("compression", "gzip").text(root)
 
@@ -66,7 +72,8 @@ def read_kafka(
     stream: bool = True,
     **options: Any,
 ) -> DataFrame:
-    reader = spark.readStream if stream else spark.read
+    """Messages of Kafka topics, with Kafka's columns; a stream takes at most MOST_OFFSETS at once unless told otherwise."""
+    reader = spark.readStream.option("maxOffsetsPerTrigger", MOST_OFFSETS) if stream else spark.read
     reader = reader.format("kafka").options(**kafka_source_options(servers, topics, partitions), **options)
     return reader.load()
 

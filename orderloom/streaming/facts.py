@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from orderloom.functions.messages import decode
-from orderloom.functions.text import sanitize_values
-from orderloom.operators.append import append_if_absent, read_target, write_run
+from orderloom.operators.append import BUCKETS, read_target
 from orderloom.plans.star import with_customer_of_order
-from orderloom.schemas import FACT_COLUMNS, FACT_KEYS, FACT_MESSAGE, envelope
+from orderloom.schemas import FACT_COLUMNS, FACT_KEYS, FACT_MESSAGE
 from orderloom.sources.tables import Sources
+from orderloom.streaming.tables import Route, stream_tables
+
+FACT_ORDER = tuple((name, "asc") for name in FACT_COLUMNS)
 
 
 def stream_facts(
@@ -21,37 +22,26 @@ def stream_facts(
     quarantine: str | None = None,
     continuous: bool = False,
     sanitize: bool = False,
+    numbered: bool = False,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Append the facts in `messages` to the parquet folder `target`, once per key.
 
-    By default the query takes what is there and ends. Offsets and batch ids live in
-    `checkpoint`; the query id kept there marks the rows of this stream in the target.
-    Messages that cannot be decoded go to `quarantine`, by default a folder beside the target.
-    `sanitize` replaces quotes in the strings, for targets that need it.
+    All messages count as order items, whatever their topic. Messages that cannot be decoded
+    go to `quarantine`, by default a folder beside the target. `sanitize` replaces quotes in
+    the strings, for targets that need it; `numbered` adds a dense `id` that goes on from
+    batch to batch. The rest is as stream_tables() says.
     """
     quarantine = quarantine or f"{target.rstrip('/')}_undecodable"
-    context = messages.sparkSession.sparkContext
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        ingest_id = context.getLocalProperty("sql.streaming.queryId")
-        decoded = decode(batch, envelope(FACT_MESSAGE)).persist()
-        facts = decoded.where(~F.col("undecodable")).select(F.col("message.timestamp").alias("_sent"), "message.data.*")
-        if sanitize:
-            facts = sanitize_values(facts, facts.schema)
-        try:
-            append_if_absent(facts, target, FACT_KEYS, ingest_id, batch_id, first_by=["_sent"])
-            write_run(decoded.where("undecodable").select("value"), quarantine, ingest_id, batch_id)
-        finally:
-            decoded.unpersist()
-
-    writer = messages.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
-    return (writer if continuous else writer.trigger(availableNow=True)).start()
+    route = Route(FACT_MESSAGE, FACT_KEYS, target, FACT_ORDER if numbered else ())
+    items = messages.select(F.lit("order_items").alias("topic"), "value")
+    return stream_tables(items, {"order_items": route}, checkpoint, quarantine, continuous, sanitize, buckets)
 
 
 def read_facts(empty: DataFrame, target: str) -> DataFrame:
     """The stored facts, or `empty` before the first batch."""
     stored = read_target(empty, target)
-    return empty if stored is None else stored.select(*FACT_COLUMNS)
+    return empty if stored is None else stored.select(*empty.columns)
 
 
 def enrich_facts(facts: DataFrame, src: Sources) -> DataFrame:

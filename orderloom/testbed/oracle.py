@@ -122,6 +122,14 @@ INGEST = {
     "append_if_absent": over(["fact"], f"""{FACT_SQL} UNION ALL
         SELECT NULL, NULL, product_id, seller_id, customer_unique_id, CAST(price AS DOUBLE) AS price FROM fact
         WHERE order_item_id = 1"""),
+    "stream_tables": over(["src_orders", "src_sellers", "src_customers"], """
+        SELECT 'src_orders' AS table_name, order_id AS id, order_status AS detail FROM src_orders
+        UNION ALL SELECT 'src_sellers', seller_id, seller_state FROM src_sellers
+        UNION ALL SELECT 'src_customers', customer_id, customer_state FROM src_customers"""),
+    "append_numbered": over(["fact", "dim_order"], """
+        SELECT row_number() OVER (ORDER BY (order_status IS NOT DISTINCT FROM 'delivered') DESC, order_id NULLS LAST,
+                order_item_id, product_id, seller_id) AS id, order_id, order_item_id, product_id, seller_id,
+            customer_unique_id, CAST(price AS DOUBLE) AS price FROM fact LEFT JOIN dim_order USING (order_id)"""),
     "sanitize_values": """
         SELECT doc_id, replace(lang || '''s ' || source, '''', '?') AS source, replace(text, '''', '?') AS text, n_chars
         FROM documents""",

@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 from orderloom.functions.messages import parse_envelope, publish_batch_stats, publish_envelope, triage_messages
 from orderloom.functions.temporal import micros
 from orderloom.functions.text import sanitize_values
-from orderloom.operators.append import append_if_absent
+from orderloom.operators.append import append_if_absent, write_run
 from orderloom.operators.keys import declared_key_violations, key_violations
+from orderloom.operators.numbering import number_batch
 from orderloom.plans import reports, star
 from orderloom.plans.reports import REPORTS, materialize_report, read_report
 from orderloom.schemas import FACT_COLUMNS, FACT_KEYS, FACT_MESSAGE, MONEY
@@ -21,7 +22,8 @@ from orderloom.session import scratch_path, tune
 from orderloom.sources.csv_files import read_source_csv, write_source_csv
 from orderloom.sources.tables import create_source_tables, load_source_tables
 from orderloom.sources.topics import keyed_messages, publish_files, read_files
-from orderloom.streaming.facts import stream_facts
+from orderloom.streaming.facts import FACT_ORDER, stream_facts
+from orderloom.streaming.tables import source_routes, stream_tables
 from orderloom.testbed.adapter import DriverSources, table
 from orderloom.testbed.primitives import PRIMITIVES
 
@@ -105,12 +107,42 @@ def _triage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, target = scratch_path(spark, "topics"), scratch_path(spark, "facts")
-    publish_files(keyed_messages(_item_messages(spark, sf_dir), "order_items"), root)
-    messages = read_files(spark, root, "order_items", files_per_trigger=2)
+    publish_files(keyed_messages(_item_messages(spark, sf_dir), "order_items"), root, files=24)
+    messages = read_files(spark, root, "order_items", files_per_trigger=8)
     stream_facts(messages, target, scratch_path(spark, "offsets")).awaitTermination()
     return spark.read.parquet(target).select(*FACT_COLUMNS)
 
 
+def _stream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three topics, each published twice over, streamed to their tables by one query."""
+    src, root, tables = DriverSources(spark, sf_dir), scratch_path(spark, "topics"), scratch_path(spark, "tables")
+    shown = {"orders": ["order_id", "order_status"], "sellers": ["seller_id", "seller_state"], "customers": ["customer_id", "customer_state"]}
+    for topic in shown:
+        messages = publish_envelope(getattr(src, topic), SENT)
+        publish_files(keyed_messages(messages.unionAll(messages), topic), root)
+    received = read_files(spark, root, list(shown), files_per_trigger=4)
+    offsets, bad = scratch_path(spark, "offsets"), scratch_path(spark, "undecodable")
+    stream_tables(received, source_routes(tables, list(shown)), offsets, bad).awaitTermination()
+    parts = []
+    for topic, columns in shown.items():
+        stored = spark.read.parquet(f"{tables}/src_{topic}")
+        named = [F.col(column).alias(name) for column, name in zip(columns, ("id", "detail"), strict=True)]
+        parts.append(stored.select(F.lit(f"src_{topic}").alias("table_name"), *named))
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _append_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of delivered orders get the first ids, all others go on behind them; the second batch runs twice."""
+    target, src = scratch_path(spark, "facts"), DriverSources(spark, sf_dir, numbered=True)
+    facts = star.facts_order_items(src)
+    delivered = src.orders.where("order_status = 'delivered'").select("order_id")
+    batches = [facts.join(delivered, "order_id", how).select(*FACT_COLUMNS) for how in ("left_semi", "left_anti")]
+    for batch_id in (0, 1, 1):
+        numbered = number_batch(batches[batch_id], target, list(FACT_ORDER), "run", batch_id)
+        write_run(numbered, target, "run", batch_id)
+    return spark.read.parquet(target).select("id", *FACT_COLUMNS)
+
+
 def _append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts of delivered orders first, then all facts twice over, and each order's first item without its keys."""
     target = scratch_path(spark, "facts")
@@ -167,7 +199,9 @@ INGEST: dict[str, Query] = {
     "parse_envelope": _parse,
     "triage_messages": _triage,
     "stream_facts": _stream,
+    "stream_tables": _stream_tables,
     "append_if_absent": _append,
+    "append_numbered": _append_numbered,
     "sanitize_values": _sanitize,
     "create_source_tables": _tables,
     "key_violations": _violations,
