@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orderloom.session import scratch_path
 
 # Bytes of text that a task works on at a time; a longer text is a batch of its own.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def ship_package(spark: SparkSession) -> None:

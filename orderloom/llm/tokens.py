@@ -49,11 +49,15 @@ def special_ids(path: str) -> dict[str, int]:
     return {token.content: number for number, token in load_tokenizer(path).get_added_tokens_decoder().items()}
 
 
+CACHE_BYTES = 48 << 20
+ENTRY_BYTES = 160  # of a remembered word besides its text: string header, place in the index, ids
+
+
 class WordCache:
-    """An encoder that remembers the first `limit` distinct words it has seen, so its memory is bounded."""
+    """An encoder that remembers the first distinct words it has seen, as many as `limit` bytes hold."""
 
-    def __init__(self, encoder: WordEncoder, limit: int = 1 << 19):
-        self.encoder, self.limit = encoder, limit
+    def __init__(self, encoder: WordEncoder, limit: int = CACHE_BYTES):
+        self.encoder, self.room = encoder, limit
         self.index: dict[str, int] = {}
         self.ids = np.zeros(0, np.uint32)
         self.starts = self.lengths = np.zeros(0, np.int64)
@@ -69,9 +73,12 @@ class WordCache:
             starts = np.concatenate([starts, len(ids) + np.cumsum(new_lengths) - new_lengths])
             lengths = np.concatenate([lengths, new_lengths])
             ids = np.concatenate([ids, new_ids])
-            if room := max(0, self.limit - len(self.index)):
-                self.index.update(zip(new[:room], range(len(self.index), self.limit), strict=False))
-                kept = len(self.index)
+            # A word's ids take no more than four bytes for each of its own.
+            sizes = np.cumsum(8 * np.fromiter(map(len, new), np.int64, len(new)) + ENTRY_BYTES)
+            if room := int(np.searchsorted(sizes, self.room, side="right")):
+                self.room -= int(sizes[room - 1])
+                kept = len(self.index) + room
+                self.index.update(zip(new[:room], range(len(self.index), kept), strict=True))
                 self.starts, self.lengths = starts[:kept], lengths[:kept]
                 self.ids = ids[: int(self.lengths[-1] + self.starts[-1])]
         found = lengths[places]
