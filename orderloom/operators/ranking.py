@@ -86,6 +86,32 @@ def with_ranks(
     return placed.select(*rows.columns, *[value.alias(name) for name, value in added.items()])
 
 
+def with_percent_ranks(rows: DataFrame, ids: list[str], ranked: dict[str, str]) -> DataFrame:
+    """The ids and a percent rank, descending, for each ranked column: one range partition and one checkpoint for all.
+
+    Each row stands once for every column it is ranked by; the columns are ranked side by side
+    as partitions, and the ranks of an id come together again in one aggregate. `ids` name a
+    row; NULLs rank last.
+    """
+    values = [F.struct(F.lit(n).alias("_which"), *_only(list(ranked), n)) for n in range(len(ranked))]
+    long = rows.select(*ids, F.explode(F.array(*values)).alias("_value")).select(*ids, "_value.*")
+    order = [(f"_value_{n}", "desc") for n in range(len(ranked))]
+    placed = with_ranks(long, order, partition_by=["_which"], tiebreak=ids, rank="_rank")
+    others = placed.agg((F.count("*") / len(ranked) - 1).alias("others")).scalar()
+
+    def share(n: int) -> Column:
+        return F.coalesce(F.try_divide((F.max(F.when(F.col("_which") == n, F.col("_rank"))) - 1).cast("double"), others), F.lit(0.0))
+
+    return placed.groupBy(*ids).agg(*[share(n).alias(name) for n, name in enumerate(ranked.values())])
+
+
+def _only(columns: list[str], n: int) -> list[Column]:
+    """All columns, but NULL in place of those that are not the n-th."""
+    return [
+        (F.col(name) if k == n else F.when(F.lit(False), F.col(name))).alias(f"_value_{k}") for k, name in enumerate(columns)
+    ]
+
+
 def _numbered(rows: DataFrame, order: list[Column], row_number: str, ranges: int | None) -> DataFrame:
     """Row numbers over all rows: one exchange, a sort within the ranges and no window over them.
 

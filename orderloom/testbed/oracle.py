@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from orderloom.schemas import KEYS, SOURCE_TABLES
 from orderloom.testbed.primitives import PRIMITIVES
+from orderloom.testbed.shown import SHOWN
 
 SOURCE_CTES = {
     "src_order_items": """
@@ -210,9 +211,8 @@ REPORTS = {
     ) + """ FROM (SELECT product_id, extract(month FROM purchased) AS m, sum(price) AS sales
         FROM sale WHERE extract(year FROM purchased) = 2000 GROUP BY 1, 2) GROUP BY product_id"""),
     "daily_rebates": over(["sale"], """
-        SELECT date_trunc('day', purchased) AS day_of_month, CAST(round(sum(order_price), 2) AS DOUBLE) AS daily_rebates
-        FROM (SELECT order_id, purchased, sum(price) AS order_price FROM sale
-            WHERE purchased >= (SELECT max(order_purchase_timestamp) - INTERVAL 1 MONTH FROM dim_order) GROUP BY 1, 2)
+        SELECT date_trunc('day', purchased) AS day_of_month, CAST(sum(price) AS DOUBLE) AS daily_rebates
+        FROM sale WHERE purchased >= (SELECT max(order_purchase_timestamp) - INTERVAL 1 MONTH FROM dim_order)
         GROUP BY 1"""),
     "daily_avgs_states_comparison": over(["sale", "dim_seller"], """
         SELECT state, coalesce(cur, 0) AS current_avg_order_value, coalesce(prev, 0) AS prev_avg_order_value,
@@ -250,11 +250,24 @@ REPORTS = {
         FROM fact JOIN dim_order USING (order_id) GROUP BY 1, 2, 3"""),
 }
 
-MATERIALIZED = {
-    "materialize_report": " UNION ALL ".join(
-        f"SELECT 'analytics_{name}' AS report, count(*) AS row_count FROM ({sql})" for name, sql in REPORTS.items())
+def _shown(name: str) -> str:
+    label, amount = SHOWN[name]
+    label = f"CAST({label} AS VARCHAR)" if label else "CAST(NULL AS VARCHAR)"
+    return f"SELECT '{name}' AS report, {label} AS label, CAST({amount} AS DOUBLE) AS amount FROM ({REPORTS[name]})"
+
+
+STORED = {
+    "materialize_report": " UNION ALL ".join(_shown(name) for name in SHOWN),
+    "stored_facts": over(["fact", "dim_order"], """
+        SELECT row_number() OVER (ORDER BY (order_status IS NOT DISTINCT FROM 'delivered') DESC, order_id NULLS LAST,
+                order_item_id, product_id, seller_id) AS id, order_id, order_item_id, product_id, seller_id,
+            customer_unique_id, CAST(price AS DOUBLE) AS price,
+            CAST(date_trunc('month', order_purchase_timestamp) AS TIMESTAMP) AS purchase_month,
+            CASE WHEN order_status = 'delivered' THEN 'first' ELSE 'second' END AS load
+        FROM fact LEFT JOIN dim_order USING (order_id)"""),
+    "stored_staging": STAR["staging_customers_deliveries"],
 }
 
 ORACLE: dict[str, str] = {
-    **INGEST, **STAR, **REPORTS, **MATERIALIZED, **{key: sql for key, (_, sql) in PRIMITIVES.items()}
+    **INGEST, **STAR, **REPORTS, **STORED, **{key: sql for key, (_, sql) in PRIMITIVES.items()}
 }

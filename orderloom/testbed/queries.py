@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import fields
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,17 +16,18 @@ from orderloom.functions.text import sanitize_values
 from orderloom.operators.append import append_if_absent, write_run
 from orderloom.operators.keys import declared_key_violations, key_violations
 from orderloom.operators.numbering import number_batch
-from orderloom.plans import reports, star
+from orderloom.plans import reports, star, stored
 from orderloom.plans.reports import REPORTS, materialize_report, read_report
 from orderloom.schemas import FACT_COLUMNS, FACT_KEYS, FACT_MESSAGE, MONEY
 from orderloom.session import scratch_path, tune
 from orderloom.sources.csv_files import read_source_csv, write_source_csv
-from orderloom.sources.tables import create_source_tables, load_source_tables
+from orderloom.sources.tables import Sources, create_source_tables, load_source_tables
 from orderloom.sources.topics import keyed_messages, publish_files, read_files
 from orderloom.streaming.facts import FACT_ORDER, stream_facts
 from orderloom.streaming.tables import source_routes, stream_tables
 from orderloom.testbed.adapter import DriverSources, table
 from orderloom.testbed.primitives import PRIMITIVES
+from orderloom.testbed.shown import SHOWN
 
 Query = Callable[[SparkSession, str], DataFrame]
 SENT = 1700000000000  # a fixed time of sending, in ms
@@ -230,8 +232,11 @@ STAR: dict[str, Query] = {
 
 def _period_in_seconds(of: star.Star) -> DataFrame:
     """The report's interval column as seconds, which both engines can show."""
+    return _seconds(reports.orders_avg_period(of))
+
+
+def _seconds(periods: DataFrame) -> DataFrame:
     day = F.lit("2000-01-01").cast("timestamp_ntz")
-    periods = reports.orders_avg_period(of)
     seconds = micros(day + F.col("interval"), day).cast("double") / 1e6
     return periods.select("customer_unique_id", seconds.alias("interval_seconds"))
 
@@ -245,19 +250,54 @@ ANALYTICS: dict[str, Query] = {
 ANALYTICS["orders_avg_period"] = _of_star(_period_in_seconds)
 
 
-def _materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store the star, store every report over it, and count what is stored."""
+def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[Sources, Sources]:
+    """The sources in two parts: delivered orders with their items, and all the rest."""
+    src = DriverSources(spark, sf_dir, numbered=True)
+    delivered = src.orders.where("order_status = 'delivered'").select("order_id")
+
+    def part(how: str) -> Sources:
+        orders, items = (rows.join(delivered, "order_id", how) for rows in (src.orders, src.order_items))
+        return Sources(**{**{f.name: getattr(src, f.name) for f in fields(Sources)}, "orders": orders, "order_items": items})
+
+    return part("left_semi"), part("left_anti")
+
+
+def _stored_in_two_loads(spark: SparkSession, sf_dir: str) -> stored.StoredStar:
     root = scratch_path(spark, "star")
-    star.write_star(DriverSources(spark, sf_dir, numbered=True), root)
-    stored = star.read_star(spark, root)
+    first, second = _two_loads(spark, sf_dir)
+    stored.write_star(first, root)
+    stored.extend_star(second, root, "second")
+    return stored.StoredStar(spark, root)
+
+
+def _materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store the star in two loads, store every report over it, and show what is stored."""
+    of = _stored_in_two_loads(spark, sf_dir)
     for name in REPORTS:
-        materialize_report(stored, name, root, **PARAMETERS.get(name, {}))
-    counts = [
-        read_report(spark, name, root).agg(F.count("*").alias("row_count"))
-        .select(F.lit(name).alias("report"), "row_count")
-        for name in REPORTS
-    ]
-    return reduce(DataFrame.unionAll, counts)
+        materialize_report(of, name, of.root, **PARAMETERS.get(name, {}))
+
+    def shown(name: str) -> DataFrame:
+        rows = read_report(spark, f"analytics_{name}", of.root)
+        label, amount = SHOWN[name]
+        if name == "orders_avg_period":
+            rows = _seconds(rows)
+        label = F.col(label) if label else F.lit(None).cast("string")
+        return rows.select(F.lit(name).alias("report"), label.alias("label"), F.col(amount).cast("double").alias("amount"))
+
+    return reduce(DataFrame.unionAll, [shown(name) for name in SHOWN])
+
+
+def _stored_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and months of the facts stored in two loads."""
+    return _stored_in_two_loads(spark, sf_dir).facts.select("id", *FACT_COLUMNS, stored.MONTH, stored.LOAD).withColumn(
+        stored.MONTH, F.col(stored.MONTH).cast("timestamp_ntz")
+    )
+
+
+def _stored_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "staging")
+    of = star.SourceStar(DriverSources(spark, sf_dir))
+    return spark.read.parquet(stored.write_staging(of, root)).drop(stored.MONTH)
 
 
 def _primitive(query: Callable[[Callable[[str], DataFrame]], DataFrame]) -> Query:
@@ -275,6 +315,8 @@ QUERIES: dict[str, Query] = {
         **STAR,
         **ANALYTICS,
         "materialize_report": _materialize,
+        "stored_facts": _stored_facts,
+        "stored_staging": _stored_staging,
         **{key: _primitive(query) for key, (query, _) in PRIMITIVES.items()},
     }.items()
 }

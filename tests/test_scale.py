@@ -57,7 +57,7 @@ def hot_star(spark, tmp_path_factory):
     tables |= {"dimension_product_data": products, "dimension_seller_data": sellers}
     for name, rows in tables.items():
         rows.write.parquet(f"{root}/{name}")
-    return star.read_star(spark, root)
+    return star.Star(*[spark.read.parquet(f"{root}/{name}") for name in tables])
 
 
 # A third of the rows in one partition stands out only among enough partitions.
