@@ -5,9 +5,9 @@
     dimension_*/             dimensions, a folder a load
 
 The fact carries its order's columns, so no report joins the order dimension, and a report
-about a period opens only the months it touches. The sums are far smaller than the fact (one row per
-month, seller and product, and one per month, customer, month of delivery and status), and all
-reports about all of history read them. A load adds to the fact and computes the sums of the
+about a period opens only the months it touches. The sums have one row per month, seller and
+product, and one per month, customer, month of delivery and status; all reports about all of
+history read them instead of the fact. A load adds to the fact and computes the sums of the
 months it touches anew, so running a load again leaves the same tables.
 """
 
@@ -141,8 +141,8 @@ def extend_star(src: Sources, root: str, load: str) -> None:
     """Add a load: its items, and the orders, products and sellers that are not stored yet.
 
     Items must be new; they find their orders among the load's and the stored ones. The ids of
-    stored facts stay, new ones go on behind them. A load that runs again under its name
-    replaces what it wrote before. One writer per star.
+    stored facts stay, new ones go on behind them. A load that runs again under its name, with
+    the same rows, leaves the same tables. One writer per star.
     """
     orders = customers_orders(src).select("order_id", "customer_unique_id", *ORDER_COLUMNS)
     dimensions = [orders, dimension_product_data(src), dimension_seller_data(src)]

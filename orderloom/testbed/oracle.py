@@ -111,6 +111,15 @@ INGEST = {
     "publish_batch_stats": """
         SELECT count(*) FILTER (WHERE event_type <> 'error') AS successes,
             count(*) FILTER (WHERE event_type = 'error') AS failures FROM events""",
+    "publish_counted": """
+        SELECT event_id, (SELECT count(*) FROM events WHERE event_type <> 'error') AS successes,
+            (SELECT count(*) FROM events WHERE event_type = 'error') AS failures
+        FROM events WHERE event_type <> 'error'""",
+    "triage_parts": """
+        SELECT CASE event_type WHEN 'signup' THEN 'undecodable' WHEN 'error' THEN 'error' ELSE 'good' END AS part, event_id,
+            (SELECT count(*) FROM events WHERE event_type <> 'signup') AS processed,
+            (SELECT count(*) FROM events WHERE event_type = 'error') AS errors,
+            (SELECT count(*) FROM events WHERE event_type = 'signup') AS undecodable FROM events""",
     "read_topic": over(["src_orders", "src_sellers"], """
         SELECT 'orders' AS topic, order_id AS id FROM src_orders
         UNION ALL SELECT 'sellers', seller_id FROM src_sellers"""),

@@ -21,6 +21,7 @@ from orderloom.plans.reports import REPORTS, materialize_report, read_report
 from orderloom.schemas import FACT_COLUMNS, FACT_KEYS, FACT_MESSAGE, MONEY
 from orderloom.session import scratch_path, tune
 from orderloom.sources.csv_files import read_source_csv, write_source_csv
+from orderloom.sources.publish import publish_messages, triage_to
 from orderloom.sources.tables import Sources, create_source_tables, load_source_tables
 from orderloom.sources.topics import keyed_messages, publish_files, read_files
 from orderloom.streaming.facts import FACT_ORDER, stream_facts
@@ -83,6 +84,20 @@ def _batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish_batch_stats(table(spark, sf_dir, "events").select(body.alias("value")))
 
 
+def _publish_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events published with their counts; what is in the topic, beside what publishing has counted."""
+    root = scratch_path(spark, "topics")
+    body = F.when(F.col("event_type") != "error", F.to_json(F.struct("event_id", "value")))
+    events = table(spark, sf_dir, "events").select(body.alias("value"))
+    counted = publish_messages(events, "events", partial(publish_files, root=root))
+    stored = read_files(spark, root, "events", stream=False)
+    return stored.select(
+        F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"),
+        F.lit(counted.successes).cast("bigint").alias("successes"),
+        F.lit(counted.failures).cast("bigint").alias("failures"),
+    )
+
+
 def _topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two topics published, then subscribed to together."""
     src, root, sink = DriverSources(spark, sf_dir), scratch_path(spark, "topics"), scratch_path(spark, "received")
@@ -99,12 +114,27 @@ def _parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_envelope(_item_messages(spark, sf_dir), FACT_MESSAGE)
 
 
-def _triage(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as messages; a signup loses the end of its JSON."""
     events = table(spark, sf_dir, "events")
     whole = F.to_json(F.struct(F.upper("event_type").alias("type"), F.struct("event_id", "value").alias("data")))
     cut = F.substring(whole, F.lit(1), F.length(whole) - 2)
-    return triage_messages(events.select(F.when(F.col("event_type") == "signup", cut).otherwise(whole).alias("value")))
+    return events.select(F.when(F.col("event_type") == "signup", cut).otherwise(whole).alias("value"))
+
+
+def _triage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return triage_messages(_event_messages(spark, sf_dir))
+
+
+def _triage_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages of every part as stored, beside the numbers counted in the same pass."""
+    path = scratch_path(spark, "parts")
+    counted = triage_to(_event_messages(spark, sf_dir), path)
+    return spark.read.schema("value string, part string").parquet(path).select(
+        "part",
+        F.regexp_extract("value", '"event_id":([0-9]+)', 1).cast("bigint").alias("event_id"),
+        *[F.lit(getattr(counted, f.name)).cast("bigint").alias(f.name) for f in fields(counted)],
+    )
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,9 +227,11 @@ INGEST: dict[str, Query] = {
     "publish_envelope": _envelope,
     "publish_sink": _sink,
     "publish_batch_stats": _batch_stats,
+    "publish_counted": _publish_counted,
     "read_topic": _topics,
     "parse_envelope": _parse,
     "triage_messages": _triage,
+    "triage_parts": _triage_parts,
     "stream_facts": _stream,
     "stream_tables": _stream_tables,
     "append_if_absent": _append,
