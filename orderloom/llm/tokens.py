@@ -49,7 +49,7 @@ def special_ids(path: str) -> dict[str, int]:
     return {token.content: number for number, token in load_tokenizer(path).get_added_tokens_decoder().items()}
 
 
-CACHE_BYTES = 48 << 20
+CACHE_BYTES = 96 << 20
 ENTRY_BYTES = 160  # of a remembered word besides its text: string header, place in the index, ids
 
 
