@@ -22,14 +22,14 @@ from orderloom.session import tune
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with a margin; those without text or letters go."""
-    docs = _shipped(spark, docs)
-    return identify(docs, learn(docs), keep_columns=True).where("accepted").select(*docs.columns)
+    rows = _plain(_shipped(spark, docs))
+    return _restored(identify(rows, learn(rows), keep_columns=True).where("accepted"), docs)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents sampled by importance; the share kept is that of documents like the labelled good ones."""
-    docs = _shipped(spark, docs)
-    return resample(docs, table(spark, sf_dir, "labels")).where("selected").select(*docs.columns)
+    rows = _plain(_shipped(spark, docs))
+    return _restored(resample(rows, table(spark, sf_dir, "labels")).where("selected"), docs)
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,12 +41,11 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced; n_chars follows a text that has changed."""
-    docs = _shipped(spark, docs)
-    found = pseudonymize(docs)
+    found = pseudonymize(_plain(_shipped(spark, docs)))
     if "n_chars" in docs.columns:
         length = F.when(F.col("n_entities") > 0, F.length("text")).otherwise(F.col("n_chars"))
         found = found.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))
-    return found.select(*docs.columns)
+    return _restored(found, docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,6 +53,30 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(_shipped(spark, docs), WORD_BPE)
 
 
+# The columns of documents. Any others go through a stage within one column of this name.
+DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
+CARRIED = "carried"
+
+
+def _others(docs: DataFrame) -> list[str]:
+    return [name for name in docs.columns if name not in DOCUMENT]
+
+
+def _plain(docs: DataFrame) -> DataFrame:
+    """Documents whose further columns cannot clash with those that an operator adds."""
+    others = _others(docs)
+    if not others:
+        return docs
+    own = [name for name in docs.columns if name in DOCUMENT]
+    return docs.select(*own, F.struct(*[F.col(f"`{name}`") for name in others]).alias(CARRIED))
+
+
+def _restored(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of `docs` out of what an operator has made of _plain(docs)."""
+    others = _others(docs)
+    return rows.select(*[F.col(f"{CARRIED}.`{name}`") if name in others else F.col(name) for name in docs.columns])
+
+
 def _shipped(spark: SparkSession, docs: DataFrame) -> DataFrame:
     ship_package(tune(spark))
     return docs
