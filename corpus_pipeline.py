@@ -34,9 +34,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that with the smallest id; of repeated rows one."""
-    docs = _shipped(spark, docs)
-    copies = near_duplicates(docs).where("NOT kept").select("doc_id")
-    return docs.join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    rows = _plain(_shipped(spark, docs))
+    copies = near_duplicates(rows).where("NOT kept").select("doc_id")
+    return _restored(rows.join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]), docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +53,9 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(_shipped(spark, docs), WORD_BPE)
 
 
-# The columns of documents. Any others go through a stage within one column of this name.
+# The columns of documents.
 DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
+# All other columns go through a stage as one struct of this name.
 CARRIED = "carried"
 
 
@@ -68,13 +69,14 @@ def _plain(docs: DataFrame) -> DataFrame:
     if not others:
         return docs
     own = [name for name in docs.columns if name in DOCUMENT]
-    return docs.select(*own, F.struct(*[F.col(f"`{name}`") for name in others]).alias(CARRIED))
+    held = [F.col(f"`{name}`").alias(f"c{k}") for k, name in enumerate(others)]
+    return docs.select(*own, F.struct(*held).alias(CARRIED))
 
 
 def _restored(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """The columns of `docs` out of what an operator has made of _plain(docs)."""
-    others = _others(docs)
-    return rows.select(*[F.col(f"{CARRIED}.`{name}`") if name in others else F.col(name) for name in docs.columns])
+    held = {name: F.col(f"{CARRIED}.c{k}").alias(name) for k, name in enumerate(_others(docs))}
+    return rows.select(*[held.get(name, F.col(f"`{name}`")) for name in docs.columns])
 
 
 def _shipped(spark: SparkSession, docs: DataFrame) -> DataFrame:
