@@ -24,10 +24,12 @@ from orderloom.llm.common import store
 
 # Pivots are vectors of the index, those first by a hash of their components; 256 at most.
 PIVOTS = 128
-# Pivots kept of a vector's order, files it is posted in, files a query looks into.
-PREFIX, POSTED, PROBED = 64, 8, 24
+# Pivots kept of a vector's order, files it is posted in, files a query looks into. Vectors whose
+# neighbours lie in all directions need most files for nine tenths of the neighbours; a posting
+# in each of several files costs as many footrules and several times the shuffle.
+PREFIX, POSTED, PROBED = 128, 1, 96
 # Of each part of a file, the share that is measured, best by footrule, and the least number.
-SHARE, LEAST = 0.25, 64
+SHARE, LEAST = 0.1, 64
 # Postings and queries that meet in one task at a time.
 PART, QUERY_PART = 4096, 1024
 
@@ -78,36 +80,34 @@ def footrules(queries: np.ndarray, vectors: np.ndarray, pivots: int) -> np.ndarr
         return found.T.copy()
 
     q, v = places(queries), places(vectors)
-    total = np.zeros((len(queries), len(vectors)), np.int16)
+    # Prefixes with no pivot in common are farthest apart.
+    total = np.zeros((len(queries), len(vectors)), np.int16 if prefix * (prefix + 1) < 1 << 15 else np.int32)
     for k in range(pivots):
         total += np.abs(q[k][:, None] - v[k][None, :])
     return total
 
 
-def nearest_in_part(held: pd.DataFrame, wanted: pd.DataFrame, pivots: int, k: int, share: float) -> list[tuple]:
+def nearest_in_part(held: pd.DataFrame, wanted: pd.DataFrame, pivots: int, k: int, share: float, least: int = LEAST) -> list[tuple]:
     """The k nearest of some postings to each of some queries: by footrule first, then by distance.
 
-    The distances of those best by footrule are first taken from products of matrices; the
-    nearest of them, several times k, are then measured component by component.
+    Only the `share` best by footrule, `least` of them or more, are measured.
     """
     found = []
     held = held.sort_values("first_id")
     perms = np.stack([np.frombuffer(x, np.uint8) for x in held["perm"]])
     points = np.stack([np.asarray(x, np.float64) for x in held["v"]])
-    squares = (points**2).sum(axis=1)
     ids = held["ids"].to_numpy()
-    take = min(len(held), max(LEAST, int(np.ceil(share * len(held)))))
-    close = min(take, 4 * (k + 1))
+    take = min(len(held), max(least, int(np.ceil(share * len(held)))))
     for begin in range(0, len(wanted), 128):
         block = wanted.iloc[begin : begin + 128]
         rules = footrules(np.stack([np.frombuffer(x, np.uint8) for x in block["perm"]]), perms, pivots)
-        asked = np.stack([np.asarray(x, np.float64) for x in block["v"]])
-        rough = squares[None, :] - 2 * asked @ points.T
-        best = np.argsort(rules, axis=1, kind="stable")[:, :take]
-        nearest = np.argsort(np.take_along_axis(rough, best, axis=1), axis=1, kind="stable")[:, :close]
-        for own, query_id, point in zip(np.take_along_axis(best, nearest, axis=1), block["query_id"].tolist(), asked, strict=True):
-            away = np.sqrt(((points[own] - point) ** 2).sum(axis=1))
-            mine = [(x, int(number)) for x, place in zip(away.tolist(), own, strict=True) for number in ids[place] if number != query_id]
+        best = np.sort(np.argsort(rules, axis=1, kind="stable")[:, :take], axis=1)
+        for own, query_id, v in zip(best, block["query_id"].tolist(), block["v"], strict=True):
+            away = np.sqrt(((points[own] - np.asarray(v, np.float64)) ** 2).sum(axis=1))
+            # A class holds an id besides the query's own, or none: k + 1 classes have k answers.
+            limit = np.partition(away, k)[k] if len(away) > k + 1 else np.inf
+            near = np.flatnonzero(away <= limit)
+            mine = [(x, int(number)) for x, place in zip(away[near].tolist(), own[near], strict=True) for number in ids[place] if number != query_id]
             found += [(query_id, number, x) for x, number in sorted(mine)[:k]]
     return found
 
@@ -115,7 +115,7 @@ def nearest_in_part(held: pd.DataFrame, wanted: pd.DataFrame, pivots: int, k: in
 def search(
     vectors: DataFrame, query: Column, *, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding",
     pivots: int = PIVOTS, prefix: int = PREFIX, posted: int = POSTED, probed: int = PROBED, share: float = SHARE,
-    part: int = PART, query_part: int = QUERY_PART,
+    least: int = LEAST, part: int = PART, query_part: int = QUERY_PART,
 ) -> DataFrame:
     """The k nearest rows to each row that `query` (on vec_id) selects, itself left out: query_id, rank, vec_id, score.
 
@@ -156,7 +156,7 @@ def search(
     right = right.withColumn("piece", every("parts")).withColumn("block", own("query_id", "query_parts")).drop("parts", "query_parts")
 
     def look_up(posts: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        found = nearest_in_part(posts, queries, count, k, share) if len(posts) and len(queries) else []
+        found = nearest_in_part(posts, queries, count, k, share, least) if len(posts) and len(queries) else []
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
     keys = ["file", "piece", "block"]
