@@ -1,6 +1,6 @@
 """Language by compression: the language whose dictionary makes a text smallest.
 
-For each language some labelled text becomes a zstandard raw-content dictionary. A text is cut
+For each language passages of labelled texts become a zstandard raw-content dictionary. A text is cut
 into segments, and each is compressed with every dictionary; a segment is short, so it is the
 dictionary and not the text's own past that decides. The language with the fewest bytes over
 all segments wins; where the next one comes within a margin, the answer is rejected.
@@ -14,17 +14,19 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import chunks
 
 UNKNOWN = "und"
-# The dictionaries are fitted on at most this many labelled documents of each language, on
-# at most this many characters of each.
-SAMPLE_DOCS, SAMPLE_CHARS = 400, 600
+# The dictionaries are fitted on a bounded sample: of each language as many segments, from
+# anywhere in its labelled texts, as fill this many bytes.
 DICTIONARY_BYTES = 110_000
 SEGMENT = 1000
+# Segments of a language that are looked at, for each one that a dictionary of full segments
+# holds: short ones and copies leave room for more.
+SPARE = 8
 LEVEL, SHORTEST_MATCH = 9, 3
 # Zeros after each segment: a segment that would not shrink is else stored as it is, at the
 # same size by every dictionary.
@@ -36,28 +38,49 @@ _LETTER = regex.compile(r"\p{L}")
 
 
 def held_out(doc_id: Column) -> Column:
-    """The fold that no language is learned from."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0
+    """The fold that no language is learned from; a row without an id is not in it."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
 def fit_dictionaries(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS,
+    size: int = DICTIONARY_BYTES, segment: int = SEGMENT,
 ) -> dict[str, bytes]:
     """A dictionary for each language of the labelled rows; rows without text or label teach nothing.
 
-    The sample is bounded: of each language the documents first by a hash of their text, each
-    text once. The most typical text stands at the end of a dictionary, where it costs least.
+    Every text, whole, is cut into segments of `segment` characters. A first pass counts them by
+    language; a second draws by hash of text and place about SPARE times as many as fill a
+    dictionary, equal ones once, and the driver takes them in the order of the hash until `size`
+    bytes are full. So what is gathered is bounded by the number of languages, a language with
+    many rows is one group of counts, and every passage has the same chance.
     """
-    labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.substring(text_col, 1, sample_chars).alias("text"), F.xxhash64(text_col).alias("order")
+    labelled = docs.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
     )
-    first = Window.partitionBy("lang").orderBy("order", "text")
-    sample = labelled.withColumn("place", F.row_number().over(first)).where(F.col("place") <= sample_docs)
-    texts: dict[str, set[str]] = {}
-    for row in sample.collect():
-        texts.setdefault(row["lang"], set()).add(row["text"])
-    return {lang: "\n".join(sorted(own)).encode()[-DICTIONARY_BYTES:] for lang, own in sorted(texts.items())}
+    pieces = F.ceil(F.length("text") / segment).cast("int")
+    counted = labelled.groupBy("lang").agg(F.sum(pieces.cast("bigint")).alias("pieces"))
+    shares = {row["lang"]: min(1.0, SPARE * size / segment / row["pieces"]) for row in counted.collect()}
+    if not shares:
+        return {}
+    share = F.create_map(*[F.lit(x) for pair in sorted(shares.items()) for x in pair])[F.col("lang")]
+    places = labelled.withColumn("hash", F.xxhash64("text")).withColumn("last", pieces - 1)
+    places = places.withColumn("places", F.filter(F.sequence(F.lit(0), "last"), lambda k: _drawn("hash", k) < share))
+    drawn = places.where(F.size("places") > 0).select("lang", "text", "hash", F.explode("places").alias("place"))
+    piece = F.lower(F.col("text").substr(F.col("place") * segment + 1, F.lit(segment)))
+    drawn = drawn.select("lang", _drawn("hash", F.col("place")).alias("order"), piece.alias("piece"))
+    texts: dict[str, list[bytes]] = {lang: [] for lang in sorted(shares)}
+    room = dict.fromkeys(shares, size)
+    for row in sorted(drawn.distinct().collect(), key=lambda row: (row["order"], row["lang"], row["piece"])):
+        content = row["piece"].encode()
+        if room[row["lang"]] > 0:
+            texts[row["lang"]].append(content[: room[row["lang"]]])
+            room[row["lang"]] -= len(content) + 1
+    return {lang: b"\n".join(own) for lang, own in texts.items()}
+
+
+def _drawn(hashed: str, place: Column) -> Column:
+    """A number from 0 to 1 for a place of a text, the same for equal texts."""
+    return F.xxhash64(F.col(hashed), place).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
 
 
 @lru_cache(maxsize=4)
@@ -100,6 +123,7 @@ def identify(
     equal ones the first by name), score is between 0 and 1, larger where the lead per
     character is larger, and accepted says that the lead is at least `margin` bytes a thousand
     characters. Texts are used whole. Equal texts get equal answers; an empty table gives no rows.
+    With `keep_columns`, columns of `docs` named lang_pred, score or accepted are replaced.
     """
     learned = tuple(sorted(dictionaries.items()))
     names = [name for name, _ in learned]
@@ -135,5 +159,4 @@ def identify(
 
 def learn(docs: DataFrame, **options) -> dict[str, bytes]:
     """Dictionaries from the documents outside the held-out fold, texts in lower case."""
-    seen = docs.where(~held_out(F.col("doc_id")) | F.col("doc_id").isNull())
-    return {lang: content.decode("utf-8", "ignore").lower().encode() for lang, content in fit_dictionaries(seen, **options).items()}
+    return fit_dictionaries(docs.where(~held_out(F.col("doc_id"))), **options)
