@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import chunks, store, texts_of
-from orderloom.llm.tokens import END_ID, WORD_END, encode_texts, with_end_ids
+from orderloom.llm.tokens import CACHE_BYTES, END_ID, WORD_END, encode_texts, library_words, with_end_ids
 from orderloom.operators.ranking import with_ranks
 
 SEQUENCE = 4096
@@ -220,17 +220,21 @@ def pack_pieces(pieces: DataFrame, *, sequence: int = SEQUENCE, unit: int = UNIT
     return alone.unionByName(settled)
 
 
+TEXT_BYTES = 512 << 10  # of texts tokenized at a time
 PIECE_SCHEMA = "doc_id bigint, text_hash bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 PIECE_COLUMNS = ["doc_id", "text_hash", "start", "length", "ids_crc32", "doc_tokens"]
 RESULT_COLUMNS = [*PIECE_COLUMNS, "sequence_id", "offset"]
 
 
-def first_pieces(docs: DataFrame, tokenizer: str, rule: str, end_id: int, sequence: int) -> DataFrame:
+def first_pieces(
+    docs: DataFrame, tokenizer: str, rule: str, end_id: int, sequence: int, word_bytes: int = CACHE_BYTES
+) -> DataFrame:
     """Every document's ids cut into whole sequences and a rest, with a checksum of each piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
-            ids, firsts = with_end_ids(*encode_texts(texts_of(batch["text"]), tokenizer, rule), end_id)
+        for batch in chunks(batches, "text", TEXT_BYTES):
+            words = library_words(tokenizer, word_bytes)
+            ids, firsts = with_end_ids(*encode_texts(texts_of(batch["text"]), tokenizer, rule, words), end_id)
             lengths = np.diff(firsts)
             count = -(-lengths // sequence)
             doc = np.repeat(np.arange(len(lengths)), count)
@@ -265,18 +269,20 @@ def pack_documents(
     sequence: int = SEQUENCE,
     unit: int = UNIT,
     block: int = BLOCK,
+    word_bytes: int = CACHE_BYTES,
 ) -> DataFrame:
     """Pack the ids of all documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset per piece.
 
     A null or empty text is its end id alone, so every row has a piece. Rows with equal ids
     or equal texts are packed one by one. Very long texts give many whole sequences. Other
     columns are ignored; an empty table gives no rows. Only documents that were cut to fill
-    room are encoded a second time, for the checksums of their parts.
+    room are encoded a second time, for the checksums of their parts. A Python worker remembers
+    words in `word_bytes`; the rows are the same whatever it is.
     """
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")
     )
-    pieces = store(first_pieces(rows, tokenizer, rule, end_id, sequence), "pieces")
+    pieces = store(first_pieces(rows, tokenizer, rule, end_id, sequence, word_bytes), "pieces")
     packed = store(pack_pieces(pieces, sequence=sequence, unit=unit, block=block), "packed")
     result = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     cut = packed.where("ids_crc32 IS NULL")
@@ -291,8 +297,9 @@ def pack_documents(
     both = both.select("r.doc_id", "r.text", "p.parts")
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
-            ids, firsts = with_end_ids(*encode_texts(texts_of(batch["text"]), tokenizer, rule), end_id)
+        for batch in chunks(batches, "text", TEXT_BYTES):
+            words = library_words(tokenizer, word_bytes)
+            ids, firsts = with_end_ids(*encode_texts(texts_of(batch["text"]), tokenizer, rule, words), end_id)
             found = []
             for doc, held, first in zip(batch["doc_id"].to_pylist(), batch["parts"].to_pylist(), firsts.tolist(), strict=False):
                 for part in held:

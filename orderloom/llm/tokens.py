@@ -86,8 +86,8 @@ class WordCache:
 
 
 @lru_cache(maxsize=4)
-def library_words(path: str) -> WordEncoder:
-    """The library's encoder of single words, remembered for the life of a Python worker."""
+def library_words(path: str, limit: int = CACHE_BYTES) -> WordEncoder:
+    """The library's encoder of single words, remembered for the life of a Python worker in at most `limit` bytes."""
     tokenizer = load_tokenizer(path)
 
     def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -95,7 +95,7 @@ def library_words(path: str) -> WordEncoder:
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths
 
-    return WordCache(encode)
+    return WordCache(encode, limit)
 
 
 @lru_cache(maxsize=1)

@@ -5,7 +5,11 @@ import random
 import numpy as np
 import pytest
 
+from orderloom.llm.common import ship_package
+from orderloom.llm.packing import pack_documents
+from orderloom.llm.queries import WORD_BPE
 from orderloom.llm.tokens import ENTRY_BYTES, WordCache
+from tests.conftest import SF_SMALL
 
 
 def _spell(words):
@@ -22,3 +26,10 @@ def test_ids_do_not_depend_on_the_limit(limit):
         want, sizes = _spell(words)
         assert ids.tolist() == want.tolist() and lengths.tolist() == sizes.tolist()
         assert sum(8 * len(word) + ENTRY_BYTES for word in cache.index) <= limit
+
+
+def test_packing_does_not_depend_on_the_word_memory(spark):
+    ship_package(spark)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    much, little = (sorted(map(tuple, pack_documents(docs, WORD_BPE, word_bytes=limit).collect())) for limit in (64 << 20, 5000))
+    assert much == little
