@@ -19,6 +19,9 @@ from orderloom.llm.quality import resample
 from orderloom.llm.queries import WORD_BPE, table
 from orderloom.session import tune
 
+# Words that a Python worker remembers while it packs: the workers of earlier stages live on beside it.
+WORD_BYTES = 32 << 20
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with a margin; those without text or letters go."""
@@ -50,7 +53,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 4096 tokens."""
-    return pack_documents(_shipped(spark, docs), WORD_BPE)
+    return pack_documents(_shipped(spark, docs), WORD_BPE, word_bytes=WORD_BYTES)
 
 
 # The columns of documents.
