@@ -6,10 +6,11 @@ token is there; the logarithms for all tokens of a text are summed. Where the to
 the code point's share among all the marked ones of the corpus comes on top, so every code point
 has a probability and a text in a rare script is not taken for a run of one token.
 
-Code points are counted over all documents. Training windows are a fixed share of all
-positions of all documents, so they grow with the corpus. Equal windows are added up and dealt
-out evenly to copies of the network, as many as the windows need; in each round every copy is
-trained in a task and Spark averages the copies. Which copy gets a window, and in which order,
+Code points are counted over all documents, and every position of every document is a training
+window. Equal windows are added up and weigh as much as they occur; a frequent one is cut into
+several pieces of about the mean weight, so there are at most about twice as many pieces as
+distinct windows. Pieces are dealt out evenly to copies of the network, as many as they need; in
+each round every copy is trained in a task and Spark averages the copies. Which copy gets a piece, and in which order,
 hangs on the windows alone, and the mean is a sum of whole numbers: the same corpus gives the
 same scores whatever its partitions. When texts are scored, each distinct window of a batch goes
 through the network once.
@@ -30,11 +31,12 @@ SIDE = 2
 WIDTH = 2 * SIDE + 1
 TOKENS = 96  # 0: outside the text, 1: any other character
 HIDDEN = 32
-EVERY = 256  # one position in so many is a training window
+EVERY = 1  # one position in so many is a training window: all of them
 ROUNDS = 3
 BATCH = 2048
 STEP = 0.01
-PER_COPY = 1 << 17  # windows that one copy of the network is trained on in a round
+PER_COPY = 1 << 17  # pieces of windows that one copy of the network is trained on in a round
+HELD = 1 << 20  # distinct windows that a task adds up before it sends them on
 FINE = 1 << 24  # parameters are averaged in steps of one over this
 CODES = 0x110000  # code points of Unicode
 
@@ -92,21 +94,21 @@ def log_probabilities(network: Network, windows: np.ndarray, block: int = 16_384
     return found
 
 
-def train(network: Network, batches: Iterator[np.ndarray], step: float = STEP) -> tuple[Network, int]:
-    """Adam over batches of windows; the trained copy and how many windows it has seen."""
+def train(network: Network, batches: Iterator[tuple[np.ndarray, np.ndarray]], step: float = STEP) -> Network:
+    """Adam over batches of windows with their weights; the trained copy."""
     network = {name: value.copy() for name, value in network.items()}
     first = {name: np.zeros_like(value) for name, value in network.items()}
     second = {name: np.zeros_like(value) for name, value in network.items()}
     eye = np.eye(TOKENS, dtype=np.float32)
-    seen, steps = 0, 0
-    for windows in batches:
+    steps = 0
+    for windows, weights in batches:
         context, middle = split_windows(windows)
         hidden = hidden_layer(network, context)
         scores = hidden @ network["out"] + network["out_bias"]
         scores[:, 0] = -1e30
         chances = np.exp(scores - scores.max(axis=1, keepdims=True))
         chances /= chances.sum(axis=1, keepdims=True)
-        wrong = (chances - eye[middle]) / np.float32(len(middle))
+        wrong = (chances - eye[middle]) * (weights / weights.sum()).astype(np.float32)[:, None]
         back = (wrong @ network["out"].T) * (hidden > 0)
         slopes = {
             "tables": np.stack([eye[context[:, k]].T @ back for k in range(2 * SIDE)]),
@@ -115,13 +117,12 @@ def train(network: Network, batches: Iterator[np.ndarray], step: float = STEP) -
             "out_bias": wrong.sum(axis=0),
         }
         steps += 1
-        seen += len(middle)
         for name, slope in slopes.items():
             first[name] = 0.9 * first[name] + 0.1 * slope
             second[name] = 0.99 * second[name] + 0.01 * slope**2
             move = first[name] / (1 - 0.9**steps) / (np.sqrt(second[name] / (1 - 0.99**steps)) + 1e-8)
             network[name] -= np.float32(step) * move.astype(np.float32)
-    return network, seen
+    return network
 
 
 def fit_alphabet(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
@@ -191,12 +192,19 @@ def _decoded(coded: np.ndarray) -> np.ndarray:
     return np.stack([coded // TOKENS ** (WIDTH - 1 - k) % TOKENS for k in range(WIDTH)], axis=1)
 
 
+def _added_up(parts: list[pa.Table]) -> pa.Table:
+    """window and times, a row a window."""
+    summed = pa.concat_tables(parts).group_by("window", use_threads=False).aggregate([("times", "sum")])
+    return pa.table([summed["window"], summed["times_sum"]], ["window", "times"])
+
+
 def training_windows(docs: DataFrame, table: np.ndarray, *, text_col: str = "text", every: int = EVERY) -> DataFrame:
-    """One window of `every` positions of the whole corpus, equal ones added up and stored: window, times."""
+    """The windows around all positions of the whole corpus, or one in `every`; equal ones added up and stored: window, times."""
     rows = docs.select(F.col(text_col).alias("text"), F.xxhash64(text_col).alias("key"))
     sent = docs.sparkSession.sparkContext.broadcast(table)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in chunks(batches, "text"):
             _, tokens, starts, lengths = _laid_out(texts_of(batch["text"]), sent.value)
             # A text's first position hangs on its hash, so short texts have their share too.
@@ -204,39 +212,58 @@ def training_windows(docs: DataFrame, table: np.ndarray, *, text_col: str = "tex
             counts = np.maximum(0, -(-(lengths - first) // every))
             rank = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
             places = np.repeat(starts + first, counts) + rank * every
-            found, times = np.unique(_coded(tokens, places - SIDE), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(times, pa.int64())], ["window", "times"])
+            counted = pa.array(_coded(tokens, places - SIDE)).value_counts()
+            held.append(pa.table([counted.field("values"), counted.field("counts")], ["window", "times"]))
+            size += len(counted)
+            if size > HELD:
+                held = [_added_up(held)]
+                size = len(held[0])
+                if size > HELD // 2:
+                    yield from held[0].to_batches()
+                    held, size = [], 0
+        if held:
+            yield from _added_up(held).to_batches()
 
     found = rows.mapInArrow(pick, "window bigint, times bigint")
     return store(found.groupBy("window").agg(F.sum("times").alias("times")), "windows")
 
 
 def dealt(windows: DataFrame, copies: int) -> DataFrame:
-    """copy, window and times: each window's times spread over the copies, as evenly as whole numbers go.
+    """copy, window and times, then any other columns: each window's times spread over the copies, as evenly as whole numbers go.
 
     A window seen once goes to the copy its hash names, a frequent one to all of them, so no
     copy gets more than its share of a hot one.
     """
+    others = [name for name in windows.columns if name not in ("window", "times")]
     step = F.explode(F.sequence(F.lit(0).cast("bigint"), F.least("times", F.lit(copies)) - 1))
-    spread = windows.select("window", "times", step.alias("step"))
+    spread = windows.select("window", "times", *others, step.alias("step"))
     extra = (F.col("step") < F.col("times") % copies).cast("bigint")
     return spread.select(
         F.pmod(F.pmod(F.xxhash64("window"), F.lit(copies)) + F.col("step"), F.lit(copies)).alias("copy"),
         "window",
         (F.floor(F.col("times") / copies) + extra).alias("times"),
+        *others,
     )
 
 
+def in_pieces(windows: DataFrame, unit: int) -> DataFrame:
+    """window, times and weight: the number of pieces of at most `unit` occurrences, and what each of them weighs, in units."""
+    pieces = F.ceil(F.col("times") / unit)
+    return windows.select("window", pieces.alias("times"), (F.col("times") / (pieces * unit)).alias("weight"))
+
+
 def trained_copies(shares: DataFrame, flat: np.ndarray, number: int) -> DataFrame:
-    """Every copy of the network after a round on its share: a row a parameter, times the windows it has seen."""
+    """Every copy of the network after a round on its share: a row a parameter, times the weight it has seen, in units."""
     sent = shares.sparkSession.sparkContext.broadcast(flat)
 
     def run(share: pa.Table) -> pa.Table:
         found, times = share["window"].to_numpy(), share["times"].to_numpy()
         order = np.argsort(found)
-        mixed = np.random.default_rng(number).permutation(np.repeat(found[order], times[order]))
-        batches = (_decoded(mixed[begin : begin + BATCH]) for begin in range(0, len(mixed), BATCH))
-        trained, seen = train(_shaped(sent.value), batches, STEP / (1 + number))
+        mixed = np.random.default_rng(number).permutation(np.repeat(order, times[order]))
+        weights = share["weight"].to_numpy()
+        parts = (mixed[begin : begin + BATCH] for begin in range(0, len(mixed), BATCH))
+        trained = train(_shaped(sent.value), ((_decoded(found[part]), weights[part]) for part in parts), STEP / (1 + number))
+        seen = max(1, round(float(weights[mixed].sum())))
         values = np.rint(_flat(trained).astype(np.float64) * FINE).astype(np.int64) * seen
         return pa.table({"place": pa.array(np.arange(len(values)), pa.int32()), "value": values, "seen": np.full(len(values), seen)})
 
@@ -244,16 +271,17 @@ def trained_copies(shares: DataFrame, flat: np.ndarray, number: int) -> DataFram
 
 
 def fit_network(windows: DataFrame, *, rounds: int = ROUNDS, seed: int = 0, per_copy: int = PER_COPY) -> Network:
-    """Rounds of training copies of the network, each on about `per_copy` windows, and averaging them by windows seen.
+    """Rounds of training copies of the network on all windows, each on about `per_copy` pieces, and averaging them by the weight seen.
 
     A copy goes out as one row a parameter and the mean is a grouped sum of whole numbers, so the
     driver gets one row a parameter, however many copies there are. Without windows the network stays fresh.
     """
     flat = _flat(fresh_network(seed))
-    total = windows.agg(F.sum("times")).first()[0] or 0
+    total, distinct = windows.agg(F.sum("times"), F.count("*")).first()
     if not total:
         return _shaped(flat)
-    shares = store(dealt(windows, -(-total // per_copy)), "shares")
+    pieces = in_pieces(windows, -(-total // max(distinct, PER_COPY)))
+    shares = store(dealt(pieces, -(-pieces.agg(F.sum("times")).first()[0] // per_copy)), "shares")
     value = F.sum(F.col("value").cast("decimal(20,0)")).alias("value")
     for number in range(rounds):
         mean = trained_copies(shares, flat, number).groupBy("place").agg(value, F.sum("seen").alias("seen"))

@@ -5,6 +5,7 @@ from math import log
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from orderloom.llm import lm
 from orderloom.llm.common import ship_package
@@ -48,6 +49,16 @@ def test_training_windows_are_every_nth_position(spark):
     assert dict(zip(map(tuple, windows.tolist()), (row["times"] for row in found), strict=True)) == expected
 
 
+def test_every_position_is_trained_on(spark, real):
+    alphabet = lm.fit_alphabet(real)
+    found = lm.training_windows(real, lm.token_table(alphabet[0]))
+    assert found.agg(F.sum("times")).first()[0] == real.agg(F.sum(F.length("text"))).first()[0]
+    rows = [(1, 1), (2, 100), (3, 101), (4, 12_345)]
+    pieces = lm.in_pieces(spark.createDataFrame(rows, "window bigint, times bigint"), 100).collect()
+    assert {row["window"]: row["times"] for row in pieces} == {1: 1, 2: 1, 3: 2, 4: 124}
+    assert {row["window"]: row["times"] * row["weight"] * 100 for row in pieces} == pytest.approx(dict(rows))
+
+
 @pytest.mark.parametrize("copies", [1, 3, 10])
 def test_windows_are_dealt_evenly(spark, copies):
     times = {k: k % 7 + 1 for k in range(200)} | {500: 100_003}
