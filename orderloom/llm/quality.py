@@ -10,6 +10,7 @@ one long good text of an odd kind puts the cut that is fitted on few labels belo
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,9 +27,8 @@ SMOOTHING = 0.5
 # N-grams by which the target model is drawn towards the raw one, so that a small target does
 # not call all unseen n-grams bad.
 PRIOR = 100_000
-# Bound of the labelled sample: ids of good documents for the target model, and labelled
-# documents for the share to keep. They are those first by a hash of the id.
-SAMPLE = 20_000
+# Up to so many ids of good documents are sent to the scan; with more of them texts move to their ids.
+SENT_IDS = 2_000_000
 # Nats of log weight that count as one unit of noise: of the sum, and of the mean per n-gram.
 TEMPERATURE, MEAN_TEMPERATURE = 1.0, 0.01
 # Of labelled good documents, this share may lie below the cut that says how many are kept.
@@ -74,19 +74,17 @@ def held_back(id_col: str) -> Column:
     return F.pmod(F.xxhash64(F.col(id_col), F.lit("cut")), F.lit(5)) == 0
 
 
-def first_by_hash(labels: DataFrame, id_col: str, most: int) -> DataFrame:
-    """At most `most` ids, those first by their hash; repeated ids count once."""
-    return labels.select(id_col).distinct().orderBy(F.xxhash64(id_col), id_col).limit(most)
-
-
 def fit(docs: DataFrame, target_ids: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS) -> np.ndarray:
     """Log ratio of each bucket: target documents against all documents, both counted whole.
 
-    `target_ids` is bounded (first_by_hash), so it is sent to the scan and no text moves. Each
-    task sends one count per bucket. Without target documents every ratio is 0.
+    All of `target_ids` are used, repeated ones once. Up to SENT_IDS of them are sent to the scan,
+    so that no text moves. Each task sends one count per bucket. Without target documents every ratio is 0.
     """
+    ids = target_ids.select(F.col(id_col).alias("doc_id")).distinct()
+    few = ids.limit(SENT_IDS + 1).count() <= SENT_IDS
+    ids = ids.withColumn("target", F.lit(True))
     marked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(
-        F.broadcast(target_ids.select(F.col(id_col).alias("doc_id"), F.lit(True).alias("target"))), "doc_id", "left"
+        F.broadcast(ids) if few else ids, "doc_id", "left"
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,15 +142,28 @@ def kth_largest(keys: DataFrame, column: str, k: int) -> float | None:
     return found[0][0] if found else None
 
 
-def share_to_keep(weighed: DataFrame, labels: DataFrame, *, id_col: str, quality_col: str, sample: int, loss: float) -> float:
+def quantile(rows: DataFrame, column: str, share: float) -> float | None:
+    """The exact percentile of a column without nulls, between two values by their distance; found by ranks over ranges."""
+    count = rows.count()
+    if not count:
+        return None
+    place = share * (count - 1)
+    low, high = math.floor(place), math.ceil(place)
+    ranked = with_ranks(rows.select(column), [(column, "asc")], row_number="_place")
+    found = {row["_place"]: row[column] for row in ranked.where(F.col("_place").isin(low + 1, high + 1)).collect()}
+    below, above = found[low + 1], found[high + 1]
+    return below if below == above else (high - place) * below + (place - low) * above
+
+
+def share_to_keep(weighed: DataFrame, labels: DataFrame, *, id_col: str, quality_col: str, loss: float) -> float:
     """The share of documents at or above a cut that all but `loss` of the labelled good documents reach.
 
-    The cut is fitted on a bounded sample of labelled documents that the target model has not
-    seen; the share counts all documents. Without such documents everything is kept.
+    The cut is fitted on all labelled good documents that the target model has not seen; the
+    share counts all documents. Without such documents everything is kept.
     """
-    good = F.broadcast(first_by_hash(labels.where((F.col(quality_col) == 1) & held_back(id_col)), id_col, sample))
-    known = weighed.select(id_col, "log_weight").join(good, id_col, "left_semi")
-    cut = known.agg(F.percentile("log_weight", loss).alias("cut")).collect()[0]["cut"]
+    good = labels.where((F.col(quality_col) == 1) & held_back(id_col)).select(id_col)
+    known = weighed.select(id_col, "log_weight").join(good, id_col, "left_semi").select("log_weight")
+    cut = quantile(store(known, "known"), "log_weight", loss)
     if cut is None:
         return 1.0
     counted = weighed.agg(F.avg((F.col("log_weight") >= cut).cast("int")).alias("share")).collect()[0]["share"]
@@ -161,7 +172,7 @@ def share_to_keep(weighed: DataFrame, labels: DataFrame, *, id_col: str, quality
 
 def resample(
     docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", quality_col: str = "quality",
-    share: float | None = None, per_ngram: bool = True, temperature: float | None = None, sample: int = SAMPLE, loss: float = LOSS, seed: int = 0,
+    share: float | None = None, per_ngram: bool = True, temperature: float | None = None, loss: float = LOSS, seed: int = 0,
 ) -> DataFrame:
     """All columns of `docs`, then log_weight, n_ngrams, sample_key and selected.
 
@@ -173,7 +184,7 @@ def resample(
     names of the new ones are replaced; an empty table gives no rows.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(quality_col).isNotNull())
-    good = first_by_hash(known.where((F.col(quality_col) == 1) & ~held_back(id_col)), id_col, sample)
+    good = known.where((F.col(quality_col) == 1) & ~held_back(id_col))
     ratios = fit(docs, good, id_col=id_col, text_col=text_col)
     rows = docs.drop("log_weight", "n_ngrams", "sample_key", "selected")
     noise = gumbel(id_col, text_col, F.lit(seed))
@@ -181,7 +192,7 @@ def resample(
     temperature = temperature or (MEAN_TEMPERATURE if per_ngram else TEMPERATURE)
     weighed = store(weighed.withColumn("sample_key", F.col("log_weight") / temperature + noise), "weighed")
     if share is None:
-        share = share_to_keep(weighed, known, id_col=id_col, quality_col=quality_col, sample=sample, loss=loss)
+        share = share_to_keep(weighed, known, id_col=id_col, quality_col=quality_col, loss=loss)
     last = kth_largest(weighed, "sample_key", round(share * weighed.count()))
     limit = F.lit(float("inf") if last is None else last)
     return weighed.withColumn("selected", F.col("sample_key") >= limit)

@@ -47,6 +47,24 @@ def test_quality_equals_brute_force(spark, per_ngram):
     assert {k for k in rows if rows[k]["selected"]} == set(sorted(keys, key=keys.get)[-3:])
 
 
+def test_the_cut_and_the_target_use_all_labels(spark):
+    labels = spark.range(120_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    weighed = labels.select("doc_id", (F.xxhash64("doc_id") / 2.0**63).alias("log_weight"))
+    weights = weighed.withColumn("held", quality.held_back("doc_id")).toPandas()
+    held = weights["log_weight"][weights["held"]]
+    assert len(held) > 20_000
+    for loss in (0.002, 0.37):
+        share = quality.share_to_keep(weighed, labels, id_col="doc_id", quality_col="quality", loss=loss)
+        assert share == (weights["log_weight"] >= np.percentile(held, 100 * loss)).mean()
+    docs = labels.select("doc_id", F.when(F.col("doc_id") % 2 == 0, "even").otherwise("odd").alias("text"))
+    even = labels.where("doc_id % 2 = 0")
+    target = even.where(~quality.held_back("doc_id")).count()
+    weight = quality.resample(docs, even, share=1.0).where("text = 'even'").agg(F.max("log_weight"), F.min("log_weight")).first()
+    share = (60_000 + quality.SMOOTHING) / (120_000 + quality.SMOOTHING * quality.BUCKETS)
+    expected = math.log((target + quality.PRIOR * share) / (target + quality.PRIOR) / share)
+    assert target > 20_000 and list(weight) == pytest.approx([expected] * 2, abs=1e-6)
+
+
 def test_quality_keeps_ties(spark):
     docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (1, "a b"), (2, None)], "doc_id bigint, text string")
     labels = spark.createDataFrame([], "doc_id bigint, quality int")
