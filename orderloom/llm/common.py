@@ -10,9 +10,9 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-from orderloom.session import scratch_path
+from orderloom.session import store  # noqa: F401
 
 # Bytes of text that a task works on at a time; a longer text is a batch of its own.
 CHUNK_BYTES = 2 << 20
@@ -35,14 +35,6 @@ def ship_package(spark: SparkSession) -> None:
     context._has_this_package = __name__
 
 
-def store(rows: DataFrame, label: str) -> DataFrame:
-    """The rows, written once to the shared folder and read back: lineage ends here."""
-    spark: SparkSession = rows.sparkSession
-    path = scratch_path(spark, label)
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
-
-
 def chunks(batches: Iterable[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in slices with at most `limit` bytes of text, or one row."""
     for batch in batches:

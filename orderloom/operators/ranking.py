@@ -4,7 +4,7 @@ A window without PARTITION BY, or with one hot partition, sends all its rows to
 Here the rows are range-partitioned on the complete sort key instead, so even a run of
 equal values is spread over many ranges. Each range is ranked by itself; one summary row
 per range then says how many rows come before it and where the group it begins with
-began. The ranged rows are checkpointed once, because both steps must see the same ranges.
+began. The ranged rows are stored once, in Parquet, because both steps must see the same ranges.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.session import shared_dir
+from orderloom.session import shared_dir, store
 
 def asc(name: str) -> Column:
     return F.col(name).asc_nulls_last()
@@ -64,7 +64,7 @@ def with_ranks(
     for level, width in levels.items():
         start = F.rank().over(in_range.orderBy(*order[:width]))
         ranged = ranged.withColumn(f"_start_{level}", start.cast("bigint"))
-    ranged = ranged.checkpoint()
+    ranged = store(ranged, "ranged")
 
     summary = _summary(ranged, {level: [name for name, _ in sorts[:width]] for level, width in levels.items()})
     placed = ranged.join(F.broadcast(summary), "_range")
@@ -87,7 +87,7 @@ def with_ranks(
 
 
 def with_percent_ranks(rows: DataFrame, ids: list[str], ranked: dict[str, str]) -> DataFrame:
-    """The ids and a percent rank, descending, for each ranked column: one range partition and one checkpoint for all.
+    """The ids and a percent rank, descending, for each ranked column: one range partition, stored once, for all.
 
     Each row stands once for every column it is ranked by; the columns are ranked side by side
     as partitions, and the ranks of an id come together again in one aggregate. `ids` name a
@@ -119,7 +119,8 @@ def _numbered(rows: DataFrame, order: list[Column], row_number: str, ranges: int
     lower 33, so both are read off it; what comes before a range is summed over one row a range.
     """
     ranged = rows.repartitionByRange(*([ranges] if ranges else []), *order).sortWithinPartitions(*order)
-    ranged = ranged.withColumn("_place", F.monotonically_increasing_id()).checkpoint()
+    ranged = ranged.withColumn("_place", F.monotonically_increasing_id())
+    ranged = store(ranged, "ranged")
     span = F.shiftright("_place", 33).alias("_range")
     sizes = ranged.groupBy(span).agg(F.count("*").alias("_rows"))
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the plans rely on. AQE coalesces small shuffles, splits skewed join
 # partitions (also where that costs one more exchange) and picks broadcast joins by the
@@ -54,6 +54,13 @@ def shared_dir(spark: SparkSession) -> str:
     return configured or context.getCheckpointDir()
 
 
+def store(rows: DataFrame, label: str) -> DataFrame:
+    """The rows, written once to the shared folder as Parquet and read back: lineage ends here."""
+    path = scratch_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

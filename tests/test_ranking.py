@@ -65,3 +65,8 @@ def test_one_row_and_no_row(spark):
     one = with_ranks(spark.range(1), [("id", "asc")], row_number="rn", percent_rank="pr")
     assert [tuple(row) for row in one.collect()] == [(0, 1, 0.0)]
     assert with_ranks(spark.range(0), [("id", "asc")], row_number="rn").isEmpty()
+
+
+def test_ranges_are_stored_where_columns_can_be_left_out(spark):
+    ranked = with_ranks(spark.range(100).withColumn("text", F.lit("long")), [("id", "asc")], row_number="rn")
+    assert "FileScan parquet" in ranked._jdf.queryExecution().executedPlan().toString()
