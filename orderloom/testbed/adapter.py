@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderloom.operators.ranking import with_ranks
+from orderloom.operators.ranking import asc, with_ranks
+from orderloom.session import store
 from orderloom.sources.tables import Sources
 
 # Explicit schemas save Spark a pass over the footers.
@@ -36,6 +37,8 @@ ITEM_ORDER = [
     "l_discount",
     "l_tax",
 ]
+# An order with more items than this is numbered over several tasks.
+HOT = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,17 +46,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class DriverSources(Sources):
-    """The seven source tables, each built when first used; item numbers only if asked for."""
+    """The seven source tables, each built when first used; item numbers only if asked for.
 
-    def __init__(self, spark: SparkSession, sf_dir: str, numbered: bool = False):
-        self.__dict__.update(spark=spark, sf_dir=sf_dir, numbered=numbered)
+    `kept` stores the numbered items, for queries that take them several times.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, numbered: bool = False, kept: bool = False):
+        self.__dict__.update(spark=spark, sf_dir=sf_dir, numbered=numbered, kept=kept)
 
     customers = cached_property(lambda self: _customers(self.spark, self.sf_dir))
     products = cached_property(lambda self: _products(self.spark, self.sf_dir))
     translations = cached_property(lambda self: _translations(self.spark, self.sf_dir))
     sellers = cached_property(lambda self: _sellers(self.spark, self.sf_dir))
     geolocation = cached_property(lambda self: _geolocation(self.spark, self.sf_dir))
-    order_items = cached_property(lambda self: _order_items(self.spark, self.sf_dir, self.numbered))
+    order_items = cached_property(lambda self: _order_items(self.spark, self.sf_dir, self.numbered, self.kept))
     orders = cached_property(lambda self: _orders(self.spark, self.sf_dir))
 
 
@@ -74,14 +80,27 @@ def _nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").groupBy("n_nationkey").agg(F.min("n_name").alias("n_name"))
 
 
-def _order_items(spark: SparkSession, sf_dir: str, numbered: bool) -> DataFrame:
+def _numbered(lines: DataFrame, hot: int = HOT) -> DataFrame:
+    """The lines with their number in the order: a window for each order, but ranges for those with more than `hot` lines."""
+    lines = lines.select("l_orderkey", *ITEM_ORDER)
+    large = store(lines.groupBy("l_orderkey").agg(F.count("*").alias("_lines")).where(F.col("_lines") > hot), "hot")
+    in_order = Window.partitionBy("l_orderkey").orderBy(*[asc(name) for name in ITEM_ORDER])
+    number = F.row_number().over(in_order).cast("bigint").alias("_number")
+    if large.isEmpty():
+        return lines.select("*", number)
+    same = lines["l_orderkey"].eqNullSafe(large["l_orderkey"])
+    order = [(name, "asc") for name in ITEM_ORDER]
+    ranged = with_ranks(lines.join(F.broadcast(large), same, "left_semi"), order, partition_by=["l_orderkey"], row_number="_number")
+    return lines.join(F.broadcast(large), same, "left_anti").select("*", number).unionByName(ranged)
+
+
+def _order_items(spark: SparkSession, sf_dir: str, numbered: bool, kept: bool) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     number = []
     if numbered:
-        order = [(name, "asc") for name in ITEM_ORDER]
-        lines = with_ranks(
-            lines.select("l_orderkey", *ITEM_ORDER), order, partition_by=["l_orderkey"], row_number="_number"
-        )
+        lines = _numbered(lines)
+        if kept:
+            lines = store(lines.select("l_orderkey", *ITEM_ORDER, "_number"), "items")
         number = [F.col("_number").cast("int").alias("order_item_id")]
     return lines.select(
         _id("l_orderkey").alias("order_id"),

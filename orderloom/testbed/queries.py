@@ -165,7 +165,7 @@ def _stream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _append_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts of delivered orders get the first ids, all others go on behind them; the second batch runs twice."""
-    target, src = scratch_path(spark, "facts"), DriverSources(spark, sf_dir, numbered=True)
+    target, src = scratch_path(spark, "facts"), DriverSources(spark, sf_dir, numbered=True, kept=True)
     facts = star.facts_order_items(src)
     delivered = src.orders.where("order_status = 'delivered'").select("order_id")
     batches = [facts.join(delivered, "order_id", how).select(*FACT_COLUMNS) for how in ("left_semi", "left_anti")]
@@ -178,7 +178,7 @@ def _append_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts of delivered orders first, then all facts twice over, and each order's first item without its keys."""
     target = scratch_path(spark, "facts")
-    src = DriverSources(spark, sf_dir, numbered=True)
+    src = DriverSources(spark, sf_dir, numbered=True, kept=True)
     facts = star.facts_order_items(src)
     delivered = src.orders.where("order_status = 'delivered'").select("order_id")
     append_if_absent(facts.join(delivered, "order_id", "left_semi").select(*FACT_COLUMNS), target, FACT_KEYS, "first", 0)
@@ -284,7 +284,7 @@ ANALYTICS["orders_avg_period"] = _of_star(_period_in_seconds)
 
 def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[Sources, Sources]:
     """The sources in two parts: delivered orders with their items, and all the rest."""
-    src = DriverSources(spark, sf_dir, numbered=True)
+    src = DriverSources(spark, sf_dir, numbered=True, kept=True)
     delivered = src.orders.where("order_status = 'delivered'").select("order_id")
 
     def part(how: str) -> Sources:

@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from orderloom.operators.ranking import asc, desc, with_ranks
+from orderloom.testbed import adapter
 
 
 def _rows(spark, n, hot_share):
@@ -67,6 +68,17 @@ def test_one_row_and_no_row(spark):
     assert with_ranks(spark.range(0), [("id", "asc")], row_number="rn").isEmpty()
 
 
+def test_items_of_hot_orders_are_numbered_over_ranges(spark):
+    rows = [(order, n, order, n % 3, float(n % 5)) for order in (1, 2, None) for n in range(40 if order == 2 else 7)]
+    names = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_extendedprice double"
+    lines = spark.createDataFrame(rows, names).withColumns({name: F.lit(None).cast("double") for name in ("l_quantity", "l_discount", "l_tax")})
+    lines = lines.withColumn("l_shipdate", F.lit(None).cast("timestamp_ntz")).repartition(5)
+    want = {(order, n, n + 1) for order, n, *_ in rows}
+    for hot in (100, 10, 3):
+        found = adapter._numbered(lines, hot).select("l_orderkey", "l_linenumber", "_number").collect()
+        assert len(found) == len(rows) and {tuple(row) for row in found} == want
+
+
 def test_ranges_are_stored_where_columns_can_be_left_out(spark):
     ranked = with_ranks(spark.range(100).withColumn("text", F.lit("long")), [("id", "asc")], row_number="rn")
     assert "FileScan parquet" in ranked._jdf.queryExecution().executedPlan().toString()
