@@ -139,8 +139,8 @@ def _triage_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, target = scratch_path(spark, "topics"), scratch_path(spark, "facts")
-    publish_files(keyed_messages(_item_messages(spark, sf_dir), "order_items"), root, files=24)
-    messages = read_files(spark, root, "order_items", files_per_trigger=8)
+    publish_files(keyed_messages(_item_messages(spark, sf_dir), "order_items"), root, files=72)
+    messages = read_files(spark, root, "order_items", files_per_trigger=24)
     stream_facts(messages, target, scratch_path(spark, "offsets")).awaitTermination()
     return spark.read.parquet(target).select(*FACT_COLUMNS)
 
@@ -151,8 +151,8 @@ def _stream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = {"orders": ["order_id", "order_status"], "sellers": ["seller_id", "seller_state"], "customers": ["customer_id", "customer_state"]}
     for topic in shown:
         messages = publish_envelope(getattr(src, topic), SENT)
-        publish_files(keyed_messages(messages.unionAll(messages), topic), root)
-    received = read_files(spark, root, list(shown), files_per_trigger=4)
+        publish_files(keyed_messages(messages.unionAll(messages), topic), root, files=24)
+    received = read_files(spark, root, list(shown), files_per_trigger=24)
     offsets, bad = scratch_path(spark, "offsets"), scratch_path(spark, "undecodable")
     stream_tables(received, source_routes(tables, list(shown)), offsets, bad).awaitTermination()
     parts = []
