@@ -19,7 +19,7 @@ from orderloom.operators.numbering import number_batch
 from orderloom.plans import reports, star, stored
 from orderloom.plans.reports import REPORTS, materialize_report, read_report
 from orderloom.schemas import FACT_COLUMNS, FACT_KEYS, FACT_MESSAGE, MONEY
-from orderloom.session import scratch_path, tune
+from orderloom.session import PARTITIONS, scratch_path, tune
 from orderloom.sources.csv_files import read_source_csv, write_source_csv
 from orderloom.sources.publish import publish_messages, triage_to
 from orderloom.sources.tables import Sources, create_source_tables, load_source_tables
@@ -337,7 +337,7 @@ def _primitive(query: Callable[[Callable[[str], DataFrame]], DataFrame]) -> Quer
 
 
 def _ready(query: Query) -> Query:
-    return lambda spark, sf_dir: plain(query(tune(spark), sf_dir))
+    return lambda spark, sf_dir: plain(query(tune(spark, PARTITIONS), sf_dir))
 
 
 QUERIES: dict[str, Query] = {

@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from orderloom.operators.ranking import asc, desc, with_ranks
+from orderloom.session import INITIAL, MERGED, MERGED_BYTES, tune
 from orderloom.testbed import adapter
 
 
@@ -82,3 +83,18 @@ def test_items_of_hot_orders_are_numbered_over_ranges(spark):
 def test_ranges_are_stored_where_columns_can_be_left_out(spark):
     ranked = with_ranks(spark.range(100).withColumn("text", F.lit("long")), [("id", "asc")], row_number="rn")
     assert "FileScan parquet" in ranked._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_large_querys_shuffles_start_with_many_partitions(spark):
+    names = (INITIAL, MERGED)
+    before = [spark.conf.get(name, None) for name in names]
+    try:
+        for name in names:
+            spark.conf.unset(name)
+        assert [tune(spark, 256).conf.get(name) for name in names] == ["256", MERGED_BYTES]
+        for name in names:
+            spark.conf.set(name, "9000000")
+        assert [tune(spark, 256).conf.get(name) for name in names] == ["9000000"] * 2
+    finally:
+        for name, value in zip(names, before, strict=True):
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
