@@ -16,6 +16,8 @@ def spark():
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            # Plans that tests read are not cut off, however long the session's column numbers have grown.
+            "spark.sql.maxMetadataStringLength": "10000",
             "spark.driver.memory": "8g",
             "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         },
