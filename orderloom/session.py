@@ -24,20 +24,23 @@ CLEANED = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
 PARTITIONS = 256
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 MERGED, MERGED_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "32m"
+# What a task reads of packed files that were stored between two steps.
+READ = "spark.sql.files.maxPartitionBytes"
 
 
 def tune(spark: SparkSession, partitions: int | None = None) -> SparkSession:
     """Apply the runtime settings to a session someone else has built.
 
-    `partitions` is what a shuffle starts with at least, and AQE merges them up to MERGED_BYTES,
+    `partitions` is what a shuffle starts with at least, and AQE merges them, and a task reads, up to MERGED_BYTES,
     unless the session has its own settings.
     """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     if partitions and spark.conf.get(INITIAL, None) is None:
         spark.conf.set(INITIAL, str(max(partitions, int(spark.conf.get("spark.sql.shuffle.partitions")))))
-    if partitions and spark.conf.get(MERGED, None) is None:
-        spark.conf.set(MERGED, MERGED_BYTES)
+    for name in (MERGED, READ):
+        if partitions and spark.conf.get(name, None) is None:
+            spark.conf.set(name, MERGED_BYTES)
     return spark
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from orderloom.operators.ranking import asc, desc, with_ranks
-from orderloom.session import INITIAL, MERGED, MERGED_BYTES, tune
+from orderloom.session import INITIAL, MERGED, MERGED_BYTES, READ, tune
 from orderloom.testbed import adapter
 
 
@@ -86,15 +86,15 @@ def test_ranges_are_stored_where_columns_can_be_left_out(spark):
 
 
 def test_a_large_querys_shuffles_start_with_many_partitions(spark):
-    names = (INITIAL, MERGED)
+    names = (INITIAL, MERGED, READ)
     before = [spark.conf.get(name, None) for name in names]
     try:
         for name in names:
             spark.conf.unset(name)
-        assert [tune(spark, 256).conf.get(name) for name in names] == ["256", MERGED_BYTES]
+        assert [tune(spark, 256).conf.get(name) for name in names] == ["256", MERGED_BYTES, MERGED_BYTES]
         for name in names:
             spark.conf.set(name, "9000000")
-        assert [tune(spark, 256).conf.get(name) for name in names] == ["9000000"] * 2
+        assert [tune(spark, 256).conf.get(name) for name in names] == ["9000000"] * 3
     finally:
         for name, value in zip(names, before, strict=True):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
