@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,7 @@ from orderloom.plans.star import (
     staging_customers_deliveries,
 )
 from orderloom.schemas import DELIVERED, FACT_COLUMNS, ORDER_COLUMNS, TABLES
+from orderloom.session import settings
 from orderloom.sources.tables import Sources
 
 MONTH, LOAD = "purchase_month", "load"
@@ -49,6 +50,8 @@ SUM_SCHEMA = (
     f" last_purchase timestamp_ntz, kind string, {MONTH} date"
 )
 BY_PRODUCT, BY_CUSTOMER = "product", "customer"
+# Aggregates of sorted rows go group by group.
+SORTED = {"spark.sql.execution.replaceHashWithSortAgg": "true"}
 DIMENSIONS = {"dimension_order_data": "order_id", "dimension_product_data": "product_id", "dimension_seller_data": "seller_id"}
 
 
@@ -133,7 +136,8 @@ def write_star(src: Sources, root: str, load: str = FIRST_LOAD) -> None:
     # Ids start anew.
     empty = spark.createDataFrame([], "first_id bigint, row_count bigint, ingest_id string, batch_id bigint")
     empty.write.mode("overwrite").parquet(marks_path(f"{root}/{FACTS}"))
-    _write_facts(item_lines(src.order_items, orders), root, load, "static")
+    known = spark.read.parquet(f"{root}/dimension_order_data").drop(LOAD)
+    _write_facts(item_lines(src.order_items, known), root, load, "static")
     refresh_sums(spark, root, None)
 
 
@@ -161,10 +165,10 @@ def _write_facts(lines: DataFrame, root: str, load: str, mode: str) -> None:
     path = f"{root}/{FACTS}"
     columns = [*FACT_COLUMNS, *ORDER_COLUMNS]
     numbered = number_batch(lines.select(*columns), path, [(name, "asc") for name in FACT_COLUMNS], load, 0)
-    placed = numbered.withColumn(MONTH, F.trunc(F.col(PURCHASE).cast("date"), "month")).withColumn(LOAD, F.lit(load))
+    placed = numbered.withColumn(MONTH, F.trunc(F.col(PURCHASE).cast("date"), "month"))
     # A month's rows together, in order of their orders; AQE splits a month that is too large for a task.
-    sorted_rows = placed.hint("rebalance", MONTH).sortWithinPartitions(MONTH, LOAD, "order_id")
-    _write(sorted_rows, path, [MONTH, LOAD], mode)
+    placed = placed.hint("rebalance", MONTH).withColumn(LOAD, F.lit(load))
+    _write(placed.sortWithinPartitions(MONTH, LOAD, "order_id"), path, [MONTH, LOAD], mode)
 
 
 def _write(rows: DataFrame, path: str, partitions: list[str], mode: str) -> None:
@@ -185,26 +189,41 @@ def refresh_sums(spark: SparkSession, root: str, touched: set | None) -> None:
             return
         named = [F.col(MONTH).isin(sorted(month for month in touched if month is not None))] if touched - {None} else []
         facts = facts.where(reduce(Column.__or__, named + ([F.col(MONTH).isNull()] if None in touched else [])))
-    _write(monthly_sums(facts).hint("rebalance", "kind", MONTH), f"{root}/{SUMS}", ["kind", MONTH], "static" if touched is None else "dynamic")
+    with settings(spark, SORTED):
+        _write(monthly_sums(facts), f"{root}/{SUMS}", ["kind", MONTH], "static" if touched is None else "dynamic")
 
 
 def monthly_sums(facts: DataFrame) -> DataFrame:
-    """Sums per month, seller and product, and per month, customer, month of delivery and status."""
-    rows = facts.withColumn("delivery_month", truncate(DELIVERY, "month"))
-    product, customer = ["seller_id", "product_id"], ["customer_unique_id", "delivery_month", "order_status"]
-    grouped = rows.groupingSets([[MONTH, *product], [MONTH, *customer]], MONTH, *product, *customer)
-    sums = grouped.agg(
-        F.grouping_id().alias("_set"),
+    """Sums per month, seller and product, and per month, customer, month of delivery and status.
+
+    Each fact stands once for either kind and moves once: the ranges keep a group's facts in one task, so distinct
+    orders need no exchange of their own, and keep months together, so a month has few files without one more. The
+    window sorts them, so that under SORTED a task holds a group and not all of its groups.
+    """
+    product, customer = ["seller_id", "product_id"], ["customer_unique_id", "order_status"]
+    own = {BY_PRODUCT: product, BY_CUSTOMER: customer}
+    kinds = [F.struct(F.lit(kind).alias("kind"), *_only(own[kind], product + customer, facts)) for kind in own]
+    rows = facts.select(MONTH, "order_id", "price", DELIVERY, PURCHASE, F.explode(F.array(*kinds)).alias("_kind"))
+    rows = rows.select(MONTH, "order_id", "price", DELIVERY, PURCHASE, "_kind.*")
+    rows = rows.repartitionByRange("kind", MONTH, *product, "customer_unique_id")
+    delivery_month = F.when(F.col("kind") == BY_CUSTOMER, truncate(DELIVERY, "month"))
+    keys = ["kind", MONTH, *product, *customer, "delivery_month"]
+    rows = rows.withColumn("delivery_month", delivery_month)
+    same_order = F.row_number().over(Window.partitionBy(*keys, "order_id").orderBy("order_id"))
+    sums = rows.withColumn("_nth", same_order).groupBy(*keys).agg(
         sum_cents("price").alias("cents"),
         F.count("price").alias("prices"),
-        F.countDistinct("order_id").alias("orders"),
+        F.count(F.when(F.col("_nth") == 1, F.col("order_id"))).alias("orders"),
         F.max(DELIVERY).alias("last_delivery"),
         F.min(PURCHASE).alias("first_purchase"),
         F.max(PURCHASE).alias("last_purchase"),
     )
-    # The set without the customer's columns has their bits, the lowest three, set.
-    kind = F.when(F.col("_set") == 0b000111, BY_PRODUCT).otherwise(BY_CUSTOMER)
-    return sums.withColumn("kind", kind).select(*[field.split()[0] for field in SUM_SCHEMA.split(", ")])
+    return sums.select(*[field.split()[0] for field in SUM_SCHEMA.split(", ")])
+
+
+def _only(own: list[str], names: list[str], rows: DataFrame) -> list[Column]:
+    """The named columns, but NULL in place of those that are not its own."""
+    return [(F.col(name) if name in own else F.lit(None).cast(rows.schema[name].dataType)).alias(name) for name in names]
 
 
 def write_staging(star: Star, root: str) -> str:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,24 +28,39 @@ INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 MERGED, MERGED_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "32m"
 # What a task reads of packed files that were stored between two steps.
 READ = "spark.sql.files.maxPartitionBytes"
+# How the files are packed.
+PACKED, CODEC = "spark.sql.parquet.compression.codec", "zstd"
 
 
 def tune(spark: SparkSession, partitions: int | None = None) -> SparkSession:
     """Apply the runtime settings to a session someone else has built.
 
     `partitions` is what a shuffle starts with at least, and AQE merges them, and a task reads, up to MERGED_BYTES,
-    unless the session has its own settings.
+    and files are packed with CODEC, unless the session has its own settings.
     """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     if partitions and spark.conf.get(INITIAL, None) is None:
         spark.conf.set(INITIAL, str(max(partitions, int(spark.conf.get("spark.sql.shuffle.partitions")))))
-    for name in (MERGED, READ):
+    for name, value in ((MERGED, MERGED_BYTES), (READ, MERGED_BYTES), (PACKED, CODEC)):
         if partitions and spark.conf.get(name, None) is None:
-            spark.conf.set(name, MERGED_BYTES)
+            spark.conf.set(name, value)
     return spark
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Settings for what is planned or started meanwhile; the session keeps its own."""
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def build_session(app_name: str = "orderloom", master: str | None = None, **conf: str) -> SparkSession:
     """Create a session with the settings above; on a cluster leave `master` to spark-submit."""
     builder = SparkSession.builder.appName(app_name).config("spark.sql.session.timeZone", "UTC")

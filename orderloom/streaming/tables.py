@@ -7,8 +7,6 @@ has written are looked up, in the buckets that a batch touches.
 
 from __future__ import annotations
 
-import contextlib
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +19,7 @@ from orderloom.functions.text import clean
 from orderloom.operators.append import BUCKETS, append_unseen, write_bucketed, write_run
 from orderloom.operators.numbering import number_batch
 from orderloom.schemas import KEYS, SOURCE_TABLES, TABLES
+from orderloom.session import settings
 
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -131,18 +130,5 @@ def stream_tables(
 
     writer = unseen_rows(messages, routes, sanitize).writeStream.foreachBatch(store)
     writer = writer.option("checkpointLocation", checkpoint)
-    with _settings(spark, STATE_SETTINGS):
+    with settings(spark, STATE_SETTINGS):
         return (writer if continuous else writer.trigger(availableNow=True)).start()
-
-
-@contextlib.contextmanager
-def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
-    """Settings that a query takes over when it starts; the session keeps its own."""
-    before = {key: spark.conf.get(key, None) for key in wanted}
-    for key, value in wanted.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -37,6 +37,8 @@ ITEM_ORDER = [
     "l_discount",
     "l_tax",
 ]
+# What items show of their lines, beside the order and the number.
+ITEM_SHOWN = ["l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_tax"]
 # An order with more items than this is numbered over several tasks.
 HOT = 100_000
 
@@ -82,9 +84,10 @@ def _nation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _numbered(lines: DataFrame, hot: int = HOT) -> DataFrame:
     """The lines with their number in the order: a window for each order, but ranges for those with more than `hot` lines."""
-    lines = lines.select("l_orderkey", *ITEM_ORDER)
+    lines = lines.select("l_orderkey", _id("l_orderkey").alias("order_id"), *ITEM_ORDER)
     large = store(lines.groupBy("l_orderkey").agg(F.count("*").alias("_lines")).where(F.col("_lines") > hot), "hot")
-    in_order = Window.partitionBy("l_orderkey").orderBy(*[asc(name) for name in ITEM_ORDER])
+    # By the id that items are joined by: the lines then lie as a join with their orders needs them.
+    in_order = Window.partitionBy("order_id").orderBy(*[asc(name) for name in ITEM_ORDER])
     number = F.row_number().over(in_order).cast("bigint").alias("_number")
     if large.isEmpty():
         return lines.select("*", number)
@@ -100,10 +103,10 @@ def _order_items(spark: SparkSession, sf_dir: str, numbered: bool, kept: bool) -
     if numbered:
         lines = _numbered(lines)
         if kept:
-            lines = store(lines.select("l_orderkey", *ITEM_ORDER, "_number"), "items")
+            lines = store(lines.select("order_id", "_number", *ITEM_SHOWN), "items")
         number = [F.col("_number").cast("int").alias("order_item_id")]
     return lines.select(
-        _id("l_orderkey").alias("order_id"),
+        F.col("order_id") if numbered else _id("l_orderkey").alias("order_id"),
         *number,
         _id("l_partkey").alias("product_id"),
         _id("l_suppkey").alias("seller_id"),
@@ -114,12 +117,13 @@ def _order_items(spark: SparkSession, sf_dir: str, numbered: bool, kept: bool) -
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shipped = table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
+    # By the id that orders are joined by: they then lie as such a join needs them.
+    shipped = table(spark, sf_dir, "lineitem").groupBy(_id("l_orderkey").alias("order_id"))
     shipped = shipped.agg(F.min("l_shipdate").alias("_first"), F.max("l_shipdate").alias("_last"))
-    orders = table(spark, sf_dir, "orders").join(shipped, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    orders = table(spark, sf_dir, "orders").withColumn("order_id", _id("o_orderkey")).join(shipped, "order_id", "left")
     flag = F.col("o_orderstatus")
     return orders.select(
-        _id("o_orderkey").alias("order_id"),
+        "order_id",
         _id("o_custkey").alias("customer_id"),
         F.when(flag == "F", "delivered").when(flag == "O", "processing").when(flag == "P", "canceled")
         .alias("order_status"),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import fields
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,7 @@ from orderloom.operators.numbering import number_batch
 from orderloom.plans import reports, star, stored
 from orderloom.plans.reports import REPORTS, materialize_report, read_report
 from orderloom.schemas import FACT_COLUMNS, FACT_KEYS, FACT_MESSAGE, MONEY
-from orderloom.session import PARTITIONS, scratch_path, tune
+from orderloom.session import PARTITIONS, scratch_path, store, tune
 from orderloom.sources.csv_files import read_source_csv, write_source_csv
 from orderloom.sources.publish import publish_messages, triage_to
 from orderloom.sources.tables import Sources, create_source_tables, load_source_tables
@@ -32,6 +32,7 @@ from orderloom.testbed.shown import SHOWN
 
 Query = Callable[[SparkSession, str], DataFrame]
 SENT = 1700000000000  # a fixed time of sending, in ms
+IS_DELIVERED = "is_delivered"
 YEAR = 2000  # the report's own default, 2018, lies outside the driver's data
 
 
@@ -163,6 +164,12 @@ def _stream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
+def _marked(rows: DataFrame, src: Sources) -> DataFrame:
+    """Whether a row's order is among the delivered ones, beside each row."""
+    delivered = src.orders.where("order_status = 'delivered'").select("order_id").distinct().withColumn(IS_DELIVERED, F.lit(True))
+    return rows.join(delivered, "order_id", "left").withColumn(IS_DELIVERED, F.coalesce(IS_DELIVERED, F.lit(False)))
+
+
 def _append_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts of delivered orders get the first ids, all others go on behind them; the second batch runs twice."""
     target, src = scratch_path(spark, "facts"), DriverSources(spark, sf_dir, numbered=True, kept=True)
@@ -283,15 +290,15 @@ ANALYTICS["orders_avg_period"] = _of_star(_period_in_seconds)
 
 
 def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[Sources, Sources]:
-    """The sources in two parts: delivered orders with their items, and all the rest."""
-    src = DriverSources(spark, sf_dir, numbered=True, kept=True)
-    delivered = src.orders.where("order_status = 'delivered'").select("order_id")
+    """The sources in two parts: delivered orders with their items, and all the rest; both are stored with their part."""
+    src = DriverSources(spark, sf_dir, numbered=True)
+    parts = {name: store(_marked(getattr(src, name), src), name) for name in ("orders", "order_items")}
 
-    def part(how: str) -> Sources:
-        orders, items = (rows.join(delivered, "order_id", how) for rows in (src.orders, src.order_items))
-        return Sources(**{**{f.name: getattr(src, f.name) for f in fields(Sources)}, "orders": orders, "order_items": items})
+    def part(delivered: Column) -> Sources:
+        own = {name: rows.where(delivered).drop(IS_DELIVERED) for name, rows in parts.items()}
+        return Sources(**{**{f.name: getattr(src, f.name) for f in fields(Sources)}, **own})
 
-    return part("left_semi"), part("left_anti")
+    return part(F.col(IS_DELIVERED)), part(~F.col(IS_DELIVERED))
 
 
 def _stored_in_two_loads(spark: SparkSession, sf_dir: str) -> stored.StoredStar:

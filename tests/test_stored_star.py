@@ -6,7 +6,9 @@ import pytest
 
 from orderloom.plans import reports, star, stored
 from orderloom.plans.star import SourceStar
-from tests.fixtures import customer, item, order, product, rows_of, seller, sources, translation
+from orderloom.session import INITIAL, MERGED, PACKED, PARTITIONS, READ, settings, tune
+from orderloom.testbed import adapter, queries
+from tests.fixtures import customer, day, item, order, product, rows_of, seller, sources, translation
 from tests.test_scale import _plan
 
 ORDERS = [
@@ -90,6 +92,61 @@ def test_a_load_computes_only_its_months_anew(spark, everything, loaded):
     assert plan.split("Initial Plan")[0].count("FileScan") == 1
 
 
+def test_sums_move_the_facts_once(spark, loaded):
+    plan = _plan(stored.monthly_sums(loaded[0].facts))
+    assert plan.count("Exchange") == plan.count("Exchange rangepartitioning") == 1, plan
+
+
+def test_sums_count_an_order_once_in_each_group(spark):
+    """A hot order over several products, orders without an id and a product without a price, against plain aggregates."""
+    ids = spark.range(900)
+    when = stored.F.expr("timestamp_ntz'2018-01-05' + make_dt_interval(cast(id % 70 as int))")
+    facts = ids.select(
+        stored.F.expr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 > 1 THEN cast(id % 50 as string) END").alias("order_id"),
+        stored.F.expr("CASE WHEN id % 7 > 0 THEN cast(id % 5 as string) END").alias("seller_id"),
+        stored.F.expr("cast(id % 4 as string)").alias("product_id"),
+        stored.F.expr("CASE WHEN id % 11 > 0 THEN cast(id % 6 as string) END").alias("customer_unique_id"),
+        stored.F.expr("CASE WHEN id % 4 > 0 THEN cast(id / 10 as decimal(10,2)) END").alias("price"),
+        stored.F.when(ids.id % 13 > 0, when).alias(star.DELIVERY),
+        stored.F.expr("CASE WHEN id % 2 = 0 THEN 'delivered' END").alias("order_status"),
+        stored.F.when(ids.id % 17 > 0, when).alias(star.PURCHASE),
+    ).withColumn(stored.MONTH, stored.F.trunc(stored.F.col(star.PURCHASE).cast("date"), "month"))
+    sums = stored.monthly_sums(facts)
+    for kind, keys in ((stored.BY_PRODUCT, ["seller_id", "product_id"]), (stored.BY_CUSTOMER, ["customer_unique_id", "delivery_month", "order_status"])):
+        rows = facts.withColumn("delivery_month", stored.truncate(star.DELIVERY, "month"))
+        want = rows.groupBy(stored.MONTH, *keys).agg(
+            stored.sum_cents("price"), stored.F.count("price"), stored.F.countDistinct("order_id"),
+            stored.F.max(star.DELIVERY), stored.F.min(star.PURCHASE), stored.F.max(star.PURCHASE),
+        )
+        got = sums.where(stored.F.col("kind") == kind)
+        assert sorted(rows_of(got, stored.MONTH, *keys, *got.columns[5:11]), key=str) == sorted(rows_of(want), key=str)
+
+
+def test_the_two_loads_are_parted_once(spark, tmp_path):
+    """Repeated orders of both parts, orders and items without a key, items without an order."""
+    lines = [(n % 6 if n % 7 else None, n, 1, n % 4, 1.0, float(n), 0.0, 0.01, "N", "O", day("2018-01-05")) for n in range(40)]
+    orders = [(0, 1, "F"), (1, 1, "O"), (2, 2, "F"), (2, 2, "O"), (3, None, "P"), (None, 3, "F"), (9, 3, "F")]
+    orders = [(key, customer, status, 1.0, day("2018-01-01"), "1-URGENT") for key, customer, status in orders]
+    empty = dict.fromkeys(("customer", "part", "supplier", "nation"), [])
+    for name, rows in {"lineitem": lines, "orders": orders, **empty}.items():
+        spark.createDataFrame(rows, adapter.RAW[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    src = adapter.DriverSources(spark, str(tmp_path), numbered=True)
+    delivered = src.orders.where("order_status = 'delivered'").select("order_id")
+    for how, part in zip(("left_semi", "left_anti"), queries._two_loads(spark, str(tmp_path)), strict=True):
+        for name in ("orders", "order_items"):
+            want, got = getattr(src, name).join(delivered, "order_id", how), getattr(part, name)
+            assert sorted(rows_of(got, *want.columns), key=str) == sorted(rows_of(want), key=str)
+            assert "Exchange" not in _plan(got)
+
+
+def test_queries_pack_their_files(spark, tmp_path):
+    with settings(spark, dict.fromkeys([INITIAL, MERGED, READ], "16m") | {INITIAL: "16", PACKED: "snappy"}):
+        spark.conf.unset(PACKED)
+        tune(spark, PARTITIONS)
+        spark.range(3).write.parquet(str(tmp_path / "rows"))
+    assert list((tmp_path / "rows").glob("*.zstd.parquet"))
+
+
 def _scans(frame, table):
     """The scans of a stored table in a plan, subqueries included."""
     text = frame._jdf.queryExecution().executedPlan().toString()
