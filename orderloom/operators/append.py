@@ -74,21 +74,29 @@ def append_if_absent(
     Each (ingest_id, batch_id) owns its partitions of the target and overwrites them, and is
     left out when looking for existing keys. A batch that runs again after a failure so
     writes the same rows once more instead of adding to them; the same input under another
-    ingest_id adds its incomplete rows again. One writer per target.
+    ingest_id adds its incomplete rows again. One writer per target. `rows` are read up to three
+    times, so what is costly to compute is better stored before.
     """
-    columns = [name for name in rows.columns if name not in (first_by or [])]
-    whole = keep_first(rows.where(complete(keys)), keys, first_by).select(*columns)
-    lacking = rows.where(~complete(keys)).select(*columns)
-    stored = read_target(whole, path, buckets)
-    if stored is None:
-        write_bucketed(whole.unionByName(lacking), path, keys, ingest_id, batch_id, buckets)
-        return
-    whole = whole.persist()
-    try:
-        fresh = _absent(whole, stored, keys, ingest_id, batch_id, buckets)
-        write_bucketed(fresh.unionByName(lacking), path, keys, ingest_id, batch_id, buckets)
-    finally:
-        whole.unpersist()
+    fresh = rows_to_append(rows, path, keys, ingest_id, batch_id, first_by, buckets)
+    _write_owned(fresh, path, ingest_id, batch_id, [bucket_column(buckets)])
+
+
+def rows_to_append(
+    rows: DataFrame, path: str, keys: list[str], ingest_id: str, batch_id: int, first_by: list[str] | None = None, buckets: int = BUCKETS
+) -> DataFrame:
+    """What append_if_absent() writes, with its bucket.
+
+    The first rows of keys are found by bucket and key: the lookup needs them in the same place, so they move once,
+    and a task writes at most a file a bucket.
+    """
+    name, columns = bucket_column(buckets), [name for name in rows.columns if name not in (first_by or [])]
+    whole, lacking = (rows.where(which).withColumn(name, bucket(keys, buckets)) for which in (complete(keys), ~complete(keys)))
+    fresh = keep_first(whole, [name, *keys], first_by).select(*columns, name)
+    stored = read_target(fresh.drop(name), path, buckets)
+    if stored is not None:
+        held = held_keys(stored, [name, *keys], buckets, _wanted(whole, keys, buckets), ingest_id, batch_id)
+        fresh = fresh.join(held, [name, *keys], "left_anti").select(*columns, name)
+    return fresh.unionByName(lacking.select(*columns, name).hint("rebalance"))
 
 
 def append_unseen(rows: DataFrame, path: str, keys: list[str], ingest_id: str, batch_id: int, buckets: int = BUCKETS) -> DataFrame:
@@ -106,12 +114,15 @@ def append_unseen(rows: DataFrame, path: str, keys: list[str], ingest_id: str, b
 def _absent(
     rows: DataFrame, stored: DataFrame, keys: list[str], ingest_id: str, batch_id: int | None, buckets: int
 ) -> DataFrame:
-    # At most as many values as there are buckets.
-    wanted = sorted(row[0] for row in rows.select(bucket(keys, buckets)).distinct().collect())
-    held = held_keys(stored, keys, buckets, wanted, ingest_id, batch_id)
+    held = held_keys(stored, keys, buckets, _wanted(rows, keys, buckets), ingest_id, batch_id)
     return rows.join(held, keys, "left_anti").select(*rows.columns)
 
 
+def _wanted(rows: DataFrame, keys: list[str], buckets: int) -> list[int]:
+    """The buckets that keys fall into, at most as many values as there are buckets."""
+    return sorted(row[0] for row in rows.select(bucket(keys, buckets)).distinct().collect())
+
+
 def write_bucketed(rows: DataFrame, path: str, keys: list[str], ingest_id: str, batch_id: int, buckets: int = BUCKETS) -> None:
     """Write rows as this run's batch, a bucket's together; the buckets of an earlier try are replaced."""
     name = bucket_column(buckets)

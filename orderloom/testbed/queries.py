@@ -184,11 +184,11 @@ def _append_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts of delivered orders first, then all facts twice over, and each order's first item without its keys."""
-    target = scratch_path(spark, "facts")
-    src = DriverSources(spark, sf_dir, numbered=True, kept=True)
-    facts = star.facts_order_items(src)
-    delivered = src.orders.where("order_status = 'delivered'").select("order_id")
-    append_if_absent(facts.join(delivered, "order_id", "left_semi").select(*FACT_COLUMNS), target, FACT_KEYS, "first", 0)
+    target, src = scratch_path(spark, "facts"), DriverSources(spark, sf_dir, numbered=True)
+    found = star.with_customer_of_order(_marked(src.order_items, src), src).select(*FACT_COLUMNS, IS_DELIVERED)
+    found = store(found, "found")
+    facts = found.drop(IS_DELIVERED)
+    append_if_absent(found.where(IS_DELIVERED).drop(IS_DELIVERED), target, FACT_KEYS, "first", 0)
     lost = facts.where("order_item_id = 1").withColumns({key: F.lit(None).cast(facts.schema[key].dataType) for key in FACT_KEYS})
     append_if_absent(facts.unionByName(facts).unionByName(lost), target, FACT_KEYS, "second", 0)
     return spark.read.parquet(target).select(*FACT_COLUMNS)

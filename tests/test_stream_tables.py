@@ -7,10 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderloom.functions.messages import publish_envelope
-from orderloom.operators.append import append_if_absent, append_unseen, bucket_column, held_keys, read_target, write_bucketed
+from orderloom.operators.append import append_if_absent, append_unseen, bucket_column, held_keys, read_target, rows_to_append, write_bucketed
 from orderloom.operators.numbering import number_batch, read_marks
 from orderloom.operators.append import write_run
 from orderloom.schemas import FACT_COLUMNS, FACT_MESSAGE, TABLES
+from orderloom.session import settings
 from orderloom.sources.topics import keyed_messages, publish_files, read_files
 from orderloom.streaming.facts import read_facts, stream_facts
 from orderloom.streaming.tables import source_routes, stream_tables, unseen_rows
@@ -70,6 +71,22 @@ def test_an_append_reads_only_its_buckets(spark, tmp_path):
         append_if_absent(one, target, ["k"], "run", 2, buckets=8)
 
 
+def test_an_append_moves_its_rows_once(spark, tmp_path):
+    """Into buckets and for the lookup alike, besides the rows without a key; nothing is kept in memory for it."""
+    target = str(tmp_path / "target")
+    rows = spark.range(200).select(F.when(F.col("id") % 5 > 0, F.col("id") % 70).alias("k"), (-F.col("id")).alias("t"), "id")
+    append_if_absent(rows.where("id < 20"), target, ["k"], "run", 0, ["t"])
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = _plan(rows_to_append(rows.unionByName(rows), target, ["k"], "run", 1, ["t"]))
+    moved = [line for line in plan.splitlines() if "Exchange" in line]
+    assert sum("hashpartitioning(bucket_of_8" in line for line in moved) == 2 and len(moved) == 3 and "InMemoryTableScan" not in plan, plan
+    append_if_absent(rows.unionByName(rows), target, ["k"], "run", 1, ["t"])
+    found = spark.read.parquet(target).where("batch_id = 1")
+    latest = {k: max(n for n in range(200) if n % 5 and n % 70 == k) for k in range(70) if k % 5}
+    want = [(k, n) for k, n in latest.items() if k >= 20] + 2 * [(None, n) for n in range(0, 200, 5)]
+    assert sorted(rows_of(found, "k", "id"), key=str) == sorted(want, key=str)
+
+
 def test_ids_stay_and_stay_dense(spark, tmp_path):
     target = str(tmp_path / "facts")
     order_by = [("k", "asc")]
