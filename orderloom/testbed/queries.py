@@ -292,7 +292,8 @@ ANALYTICS["orders_avg_period"] = _of_star(_period_in_seconds)
 def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[Sources, Sources]:
     """The sources in two parts: delivered orders with their items, and all the rest; both are stored with their part."""
     src = DriverSources(spark, sf_dir, numbered=True)
-    parts = {name: store(_marked(getattr(src, name), src), name) for name in ("orders", "order_items")}
+    items = store(_marked(src.order_items, src), "items")
+    parts = {"order_items": items, "orders": store(_marked(src.orders_of(items), src), "orders")}
 
     def part(delivered: Column) -> Sources:
         own = {name: rows.where(delivered).drop(IS_DELIVERED) for name, rows in parts.items()}
